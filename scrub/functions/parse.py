@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,54 +27,105 @@ FALSE_WORDS = ("false", "f", "no", "n", "0", "off")
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 FRACTIONAL_NUMBER = r"^\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)\s*$"
 
-# What one run of a pattern letter can match at most; letters not listed switch the check off.
-_SHAPES = {
-    "yyyy": r"[+-]?\d{4,}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}", "d": r"\d{1,2}",
-    "HH": r"\d{2}", "H": r"\d{1,2}", "mm": r"\d{2}", "m": r"\d{1,2}", "ss": r"\d{2}",
-    "s": r"\d{1,2}", "SSS": r"\d{3}", "SSSSSS": r"\d{6}",
+# Shapes of the runs of pattern letters, digits written as 0. Years of more than four digits carry a
+# sign; those of six and more are not read, because Spark's own parser fails on them for good when
+# they are beyond the range of its timestamps. Other letters have no fixed shape.
+_RUNS = {
+    "yyyy": ("0000", "+00000", "-0000", "-00000"), "MM": ("00",), "M": ("0", "00"), "dd": ("00",),
+    "d": ("0", "00"), "HH": ("00",), "H": ("0", "00"), "mm": ("00",), "m": ("0", "00"),
+    "ss": ("00",), "s": ("0", "00"), "SSS": ("0", "00", "000"),
 }
 _TOKEN = re.compile(r"'([^']+)'|([A-Za-z])\2*|([-/. :,_])")
+_BETWEEN, _AFTER = "\x02", "\x01"
+_FAR_YEAR = r"[+-]\d{6}"
 
 
-def shape_of(fmt: str) -> str | None:
-    """Regular expression that every text of a date format fits, or None if unknown.
-
-    A failed parse costs an exception per row and format; the regex turns most of them away first.
-    """
-    out, at = [], 0
+def shapes_of(fmt: str) -> list[str] | None:
+    """Every usual shape a text of the date format can have, or None if that is not known."""
+    parts, at = [], 0
     while at < len(fmt):
         token = _TOKEN.match(fmt, at)
         if token is None:
             return None
-        if token.group(1) is not None:
-            out.append(r"\Q" + token.group(1) + r"\E")
-        elif token.group(3) is not None:
-            out.append(r"\Q" + token.group(3) + r"\E")
-        elif token.group(0) in _SHAPES:
-            out.append(_SHAPES[token.group(0)])
-        else:
+        literal = token.group(1) or token.group(3)
+        run = _RUNS.get(token.group(0)) if literal is None else (_digits_as_zero(literal),)
+        if run is None:
             return None
+        parts.append(run)
         at = token.end()
-    return "(?i)^" + "".join(out) + "$"
+    return ["".join(p) for p in product(*parts)]
+
 
+def _digits_as_zero(text: str) -> str:
+    return re.sub("[0-9]", "0", text.lower())
 
-def _first_reading(c: Column, formats: Sequence[str], read, kind: str) -> Column:
-    tries = []
-    for fmt in reversed(formats):
-        value = read(c, fmt)
-        shape = shape_of(fmt)
-        tries.append(value if shape is None else F.when(c.rlike(shape), value))
-    return F.coalesce(*tries) if tries else F.lit(None).cast(kind)
+
+def _stretched(fmt: str) -> str | None:
+    """What a text like 001/02/2024 looks like, for a format with numbers of any length in it.
+
+    None when all numbers have a fixed length, or when two numbers touch.
+    """
+    tokens = list(_TOKEN.finditer(fmt))
+    numbers = [t.group(2) is not None for t in tokens]
+    if any(a and b for a, b in zip(numbers, numbers[1:])):
+        return None
+    if not any(n and len(t.group(0)) == 1 for n, t in zip(numbers, tokens)):
+        return None
+    parts = []
+    for t in tokens:
+        literal = t.group(1) or t.group(3)
+        if literal is not None:
+            parts.append(r"\Q" + literal + r"\E")
+        else:
+            parts.append(r"[+-]?\d{4,5}" if t.group(0) == "yyyy" else r"\d+")
+    return "(?i)^" + "".join(parts) + "$"
+
+
+def _first_reading(c: Column, formats: Sequence[str], kind: str) -> Column:
+    """The reading by the last format that reads the text.
+
+    A failed parse throws inside Spark, and trying every format on every value is slow and makes
+    code too large to be compiled. So the shape of the text is looked up first, and only formats
+    of that shape are tried: the i-th choice for a shape is in the i-th of a few constant maps.
+    Texts of no known shape are only tried with formats that leave room for them.
+    """
+    last_first = list(dict.fromkeys(reversed(formats)))
+    known = {fmt: shapes_of(fmt) for fmt in last_first}
+    stretched = {fmt: _stretched(fmt) for fmt in last_first if known[fmt] is not None}
+    loose = [fmt for fmt in last_first if known[fmt] is None or stretched[fmt]]
+    choices = {
+        shape: [fmt for fmt in last_first if known[fmt] is None or shape in known[fmt]]
+        for shapes in known.values() for shape in shapes or ()
+    }
+    longest = max((len(shape.encode()) for shape in choices), default=0)
+    shape = F.when(
+        F.octet_length(c) <= longest, F.translate(F.lower(c), "123456789", "000000000")
+    )
+    readings = []
+    for i in range(max(map(len, [loose, *choices.values()]), default=0)):
+        entries = [s + _BETWEEN + found[i] for s, found in choices.items() if i < len(found)]
+        fmt = F.lit(None).cast("string")
+        if entries:
+            table = F.str_to_map(F.lit(_AFTER.join(entries)), F.lit(_AFTER), F.lit(_BETWEEN))
+            fmt = F.try_element_at(table, shape)
+        if i < len(loose):
+            pattern = stretched.get(loose[i])
+            open_ended = c.rlike(pattern) if pattern else ~c.rlike(_FAR_YEAR)
+            if choices:
+                open_ended = open_ended & ~F.coalesce(shape.isin(*choices), F.lit(False))
+            fmt = F.coalesce(fmt, F.when(open_ended, loose[i]))
+        readings.append(F.try_to_timestamp(c, fmt).cast(kind))
+    return F.coalesce(*readings) if readings else F.lit(None).cast(kind)
 
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date by the last of the formats that reads the text."""
-    return _first_reading(c, formats, F.try_to_date, "date")
+    return _first_reading(c, formats, "date")
 
 
 def parse_timestamp(c: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Timestamp by the last of the formats that reads the text."""
-    return _first_reading(c, formats, lambda x, f: F.try_to_timestamp(x, F.lit(f)), "timestamp")
+    return _first_reading(c, formats, "timestamp")
 
 
 def boolean_word(c: Column) -> Column:

@@ -248,30 +248,38 @@ def infer_shares(
 ) -> DataFrame:
     """One row per text column: which share of its non-null values reads as which type.
 
-    One aggregate over the whole of all columns; nothing is sampled.
+    Looks at all values of all columns in one aggregate; nothing is sampled. The columns are
+    unfolded into (column, value) pairs, so the probes are one piece of code however wide the
+    table is.
     """
     text_columns = columns_of_type(df, T.StringType)
     wanted = text_columns if columns is None else [c for c in text_columns if c in columns]
+    spark = df.sparkSession
     if not wanted:
-        return df.sparkSession.createDataFrame([], SHARES_SCHEMA)
-    counts, rows = [], []
-    for i, name in enumerate(wanted):
-        c = ref(name)
-        probes = {
-            "boolean_share": parse.boolean_word(c),
-            "numeric_share": parse.is_number(c),
-            "integer_share": parse.is_whole_number(c),
-            "timestamp_share": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
-            "date_share": parse.parse_date(c, options.date_formats).isNotNull(),
-        }
-        row = {"column_name": F.lit(name), "non_null_count": F.col(f"n{i}")}
-        counts.append(F.count(c).alias(f"n{i}"))
-        for key, probe in probes.items():
-            counts.append(F.count_if(probe).alias(f"{key}{i}"))
-            share = F.col(f"{key}{i}") / F.nullif(F.col(f"n{i}"), F.lit(0))
-            row[key] = F.coalesce(share, F.lit(0.0))
-        rows.append(row)
-    return rows_from_one(df.agg(*counts), rows)
+        return spark.createDataFrame([], SHARES_SCHEMA)
+    cells = [x for i, name in enumerate(wanted) for x in (F.lit(i), ref(name))]
+    pairs = df.select(F.stack(F.lit(len(wanted)), *cells).alias("place", "value"))
+    # One pair without a value per column, so that columns of an empty table are listed too.
+    listed = spark.range(len(wanted)).select(F.col("id").cast("int").alias("place"))
+    pairs = pairs.unionByName(listed, allowMissingColumns=True)
+    c = F.col("value")
+    probes = {
+        "boolean_share": parse.boolean_word(c),
+        "numeric_share": parse.is_number(c),
+        "integer_share": parse.is_whole_number(c),
+        "timestamp_share": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
+        "date_share": parse.parse_date(c, options.date_formats).isNotNull(),
+    }
+    counted = pairs.groupBy("place").agg(
+        F.count(c).alias("n"), *[F.count_if(probe).alias(key) for key, probe in probes.items()]
+    )
+    name = F.element_at(F.array(*[F.lit(n) for n in wanted]), F.col("place") + 1)
+    size = F.col("n")
+    return counted.select(
+        name.alias("column_name"),
+        size.alias("non_null_count"),
+        *[F.when(size > 0, F.col(k) / size).otherwise(F.lit(0.0)).alias(k) for k in probes],
+    )
 
 
 def infer_types(

@@ -25,7 +25,10 @@ def write_table(
     if fmt == "parquet":
         options = {"compression": compression} | options
     elif fmt == "csv":
-        options = {"header": True, "sep": separator, "quote": quote} | options
+        # Empty text is a pair of quotes; Spark would write "" whatever the quote character is.
+        options = {
+            "header": True, "sep": separator, "quote": quote, "emptyValue": quote * 2,
+        } | options
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
