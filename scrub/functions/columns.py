@@ -19,9 +19,14 @@ FRACTIONAL = (T.FloatType, T.DoubleType)
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def quoted(name: str) -> str:
+    """A column's name as SQL text, safe for dots, spaces and backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
-    """Column by its exact name, safe for dots, spaces and backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its exact name."""
+    return F.col(quoted(name))
 
 
 def data_columns(df: DataFrame) -> list[str]:

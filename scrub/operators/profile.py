@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import TEMPORAL, nan_to_null, ref, rows_from_one
-from .quantiles import approx_quantile_aggs, quantiles
+from ..functions.columns import FRACTIONAL, TEMPORAL, quoted, ref, rows_from_one
+from .quantiles import quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 # Texts longer than this are told apart by their SHA-256 when distinct values are counted.
@@ -47,147 +47,154 @@ def profile(
     """Profile every column.
 
     Everything but the number of distinct values comes from one aggregate over the table. Distinct
-    values (NULL is one of them) are counted in a second pass that turns the table into
-    (column, value) pairs once; ``approx_distinct`` estimates them in the first pass instead.
+    values (NULL is one of them) are counted in a second one that turns the table into
+    (column, value) pairs; ``approx_distinct`` estimates them without moving values around.
     Statistics of other kinds of columns are NULL. NaN takes no part in numeric statistics; it is
     counted in ``nan_count``.
     """
     fields = df.schema.fields
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
-    finish: list[dict[str, Column]] = []
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    if numeric and not exact_quantiles:
-        aggs += approx_quantile_aggs(df, numeric, QUARTILES, relative_error)
     exact = quantiles(df, numeric, QUARTILES, exact=True) if exact_quantiles else {}
+    aggs = {"n": "count(1)"}
+    rows = []
     for i, field in enumerate(fields):
-        more_aggs, statistics = _statistics(ref(field.name), field.dataType, i)
-        aggs += [F.count_if(ref(field.name).isNull()).alias(f"null{i}"), *more_aggs]
-        if approx_distinct:
-            key = _distinct_key(ref(field.name), field.dataType)
-            aggs.append(F.approx_count_distinct(F.coalesce(*key[1:])).alias(f"distinct{i}"))
+        c = quoted(field.name)
+        more_aggs, statistics = _statistics(c, field.dataType)
+        # Names of the aggregates end with the place of their column.
+        aggs |= {f"nulls{i}": f"count_if({c} IS NULL)"}
+        aggs |= {f"{name}{i}": sql for name, sql in more_aggs.items()}
         if field.name in numeric:
-            found = F.col(f"q{numeric.index(field.name)}")
-            if exact_quantiles:
-                found = F.lit(exact[field.name]).cast("array<double>")
+            if not exact_quantiles:
+                aggs[f"quartiles{i}"] = _approx_quartiles(c, field.dataType, relative_error)
             for k, key in enumerate(("q1", "median", "q3")):
-                statistics[key] = F.get(found, F.lit(k))
-        row = {
-            "column_name": F.lit(field.name),
-            "ordinal": F.lit(i),
-            "data_type": F.lit(field.dataType.simpleString()),
-            "total_records": F.col("n"),
-            "null_count": F.col(f"null{i}"),
-        }
-        if approx_distinct:
-            some_null = (F.col(f"null{i}") > 0).cast("long")
-            row["unique_count"] = F.col(f"distinct{i}") + some_null
+                found = f"quartiles{{i}}[{k}]"
+                if exact_quantiles:
+                    values = exact[field.name]
+                    found = f"{values[k]!r}D" if values else "NULL"
+                statistics[key] = found
+        cells = [f"{i} AS ordinal", "n AS total_records", f"nulls{i} AS null_count"]
         for key, kind in STATISTICS.items():
-            row[key] = statistics.get(key, F.lit(None)).cast(kind)
-        finish.append(row)
-    profiled = rows_from_one(df.agg(*aggs), finish)
-    if not approx_distinct:
-        # Both sides have at most one row per column of the profiled table.
-        profiled = profiled.join(distinct_counts(df), "ordinal", "left")
-        profiled = profiled.withColumn("unique_count", F.coalesce("unique_count", F.lit(0)))
-    share = {
-        "null_percentage": _share("null_count"),
-        "uniqueness_percentage": _share("unique_count"),
-    }
-    return profiled.withColumns(share).select(*COMMON, *STATISTICS)
-
-
-def _share(name: str) -> Column:
+            value = statistics.get(key, "NULL").format(i=i)
+            cells.append(f"CAST({value} AS {kind}) AS {key}")
+        rows.append(f"struct({', '.join(cells)})")
+    one_row = df.selectExpr(*[f"{sql} AS {name}" for name, sql in aggs.items()])
+    profiled = one_row.selectExpr(f"inline(array({', '.join(rows)}))")
+    # Both sides have one row per column of the profiled table.
+    profiled = profiled.join(
+        approx_distinct_counts(df) if approx_distinct else distinct_counts(df), "ordinal", "left"
+    )
+    place = F.col("ordinal") + 1
+    return profiled.withColumns(
+        {
+            "column_name": F.element_at(F.lit([f.name for f in fields]), place),
+            "data_type": F.element_at(F.lit([f.dataType.simpleString() for f in fields]), place),
+            "unique_count": F.coalesce("unique_count", F.lit(0)),
+            "null_percentage": _share(F.col("null_count")),
+            "uniqueness_percentage": _share(F.coalesce("unique_count", F.lit(0))),
+        }
+    ).select(*COMMON, *STATISTICS)
+
+
+def _share(part: Column) -> Column:
     total = F.col("total_records")
-    return F.when(total > 0, F.col(name) / total * 100).otherwise(F.lit(0.0))
+    return F.when(total > 0, part / total * 100).otherwise(F.lit(0.0))
+
+
+def _without_nan(c: str, kind: T.DataType) -> str:
+    return f"nanvl({c}, CAST(NULL AS {kind.simpleString()}))" if isinstance(kind, FRACTIONAL) else c
+
 
+def _approx_quartiles(c: str, kind: T.DataType, relative_error: float) -> str:
+    wanted = ", ".join(f"{p}D" for p in QUARTILES)
+    accuracy = max(1, round(1 / relative_error))
+    return f"percentile_approx({_without_nan(c, kind)}, array({wanted}), {accuracy})"
 
-def _statistics(c: Column, kind: T.DataType, i: int) -> tuple[list[Column], dict[str, Column]]:
-    """Aggregates of one column, and its statistics as expressions over their results."""
 
-    def got(key: str) -> Column:
-        return F.col(f"{key}{i}")
+def _statistics(c: str, kind: T.DataType) -> tuple[dict[str, str], dict[str, str]]:
+    """Aggregates of one column by name, and its statistics over their results.
 
+    SQL text on both sides: a table may have thousands of columns, and one text is one call.
+    ``{i}`` stands for the place of the column.
+    """
     if isinstance(kind, T.StringType):
-        size = F.length(c)
-        return [
-            F.min(size).alias(f"minlen{i}"),
-            F.max(size).alias(f"maxlen{i}"),
-            F.avg(size).alias(f"avglen{i}"),
-            F.count_if(c == "").alias(f"empty{i}"),
-            F.count_if(~c.rlike(r"\S")).alias(f"blank{i}"),
-        ], {
-            "min_length": got("minlen"),
-            "max_length": got("maxlen"),
-            "avg_length": F.coalesce(F.round(got("avglen"), 2), F.lit(0.0)),
-            "empty_string_count": got("empty"),
-            "whitespace_only_count": got("blank"),
+        return {
+            "minlen": f"min(length({c}))",
+            "maxlen": f"max(length({c}))",
+            "avglen": f"avg(length({c}))",
+            "empty": f"count_if({c} = '')",
+            "blank": f"count_if(NOT {c} RLIKE r'\\S')",
+        }, {
+            "min_length": "minlen{i}",
+            "max_length": "maxlen{i}",
+            "avg_length": "coalesce(round(avglen{i}, 2), 0D)",
+            "empty_string_count": "empty{i}",
+            "whitespace_only_count": "blank{i}",
         }
     if isinstance(kind, T.NumericType):
-        value = nan_to_null(c, kind)
-        wide = value.cast("double")
-        aggs = [
-            F.min(value).alias(f"min{i}"),
-            F.max(value).alias(f"max{i}"),
-            F.avg(wide).alias(f"mean{i}"),
-            F.stddev(wide).alias(f"std{i}"),
-            F.variance(wide).alias(f"var{i}"),
-            F.count_if(value == 0).alias(f"zero{i}"),
-            F.count_if(value < 0).alias(f"neg{i}"),
-            F.count_if(value.isNull() & c.isNotNull()).alias(f"nan{i}"),
-        ]
-        statistics = {"min_value": got("min").cast("string"), "max_value": got("max").cast("string")}
-        for key, source in (("mean", "mean"), ("std_dev", "std"), ("variance", "var")):
-            statistics[key] = F.coalesce(F.round(got(source), 4), F.lit(0.0))
-        statistics |= {
-            "zero_count": got("zero"), "negative_count": got("neg"), "nan_count": got("nan"),
+        value = _without_nan(c, kind)
+        wide = f"CAST({value} AS DOUBLE)"
+        return {
+            "min": f"min({value})",
+            "max": f"max({value})",
+            "mean": f"avg({wide})",
+            "std": f"stddev({wide})",
+            "var": f"variance({wide})",
+            "zero": f"count_if({value} = 0)",
+            "neg": f"count_if({value} < 0)",
+            "nan": f"count_if(({value}) IS NULL AND {c} IS NOT NULL)",
+        }, {
+            "min_value": "min{i}",
+            "max_value": "max{i}",
+            "mean": "coalesce(round(mean{i}, 4), 0D)",
+            "std_dev": "coalesce(round(std{i}, 4), 0D)",
+            "variance": "coalesce(round(var{i}, 4), 0D)",
+            "zero_count": "zero{i}",
+            "negative_count": "neg{i}",
+            "nan_count": "nan{i}",
         }
-        return aggs, statistics
     if isinstance(kind, TEMPORAL):
-        first, last = got("min"), got("max")
-        span = F.timestamp_diff("DAY", first, last)
-        return [F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")], {
-            "min_date": first.cast("string"),
-            "max_date": last.cast("string"),
-            "date_range_days": F.coalesce(span, F.lit(0)),
+        return {"min": f"min({c})", "max": f"max({c})"}, {
+            "min_date": "min{i}",
+            "max_date": "max{i}",
+            "date_range_days": "coalesce(timestampdiff(DAY, min{i}, max{i}), 0L)",
         }
     if isinstance(kind, T.BooleanType):
-        yes, no = got("yes"), got("no")
-        known = yes + no
-        return [F.count_if(c).alias(f"yes{i}"), F.count_if(~c).alias(f"no{i}")], {
-            "true_count": yes,
-            "false_count": no,
-            "true_percentage": F.when(known > 0, yes / known * 100).otherwise(F.lit(0.0)),
-            "false_percentage": F.when(known > 0, no / known * 100).otherwise(F.lit(0.0)),
+        share = "CASE WHEN yes{{i}} + no{{i}} > 0 THEN {0}{{i}} / (yes{{i}} + no{{i}}) * 100 ELSE 0D END"
+        return {"yes": f"count_if({c})", "no": f"count_if(NOT {c})"}, {
+            "true_count": "yes{i}",
+            "false_count": "no{i}",
+            "true_percentage": share.format("yes"),
+            "false_percentage": share.format("no"),
         }
-    return [], {}
+    return {}, {}
+
 
+KEY_KINDS = ("long", "double", "string")
 
-def _distinct_key(c: Column, kind: T.DataType) -> tuple[Column, Column, Column]:
-    """A value as (whole number, fraction, text), two of them NULL: equal only for equal values.
+
+def _distinct_key(c: Column, kind: T.DataType) -> tuple[str, Column]:
+    """One of the key kinds, and a key of that kind that is equal only for equal values.
 
     Long texts shrink to a hash, so the shuffle carries short keys however long the texts are.
     """
-    long, double, text = (F.lit(None).cast(k) for k in ("long", "double", "string"))
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-        long = c.cast("long")
-    elif isinstance(kind, T.DateType):
-        long = F.unix_date(c).cast("long")
-    elif isinstance(kind, T.TimestampType):
-        long = F.unix_micros(c)
-    elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        double = c.cast("double")
+        return "long", c.cast("long")
+    if isinstance(kind, T.DateType):
+        return "long", F.unix_date(c).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return "long", F.unix_micros(c)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return "double", c.cast("double")
+    if isinstance(kind, T.StringType):
+        text = c
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(c)
     else:
-        if isinstance(kind, T.StringType):
-            whole = c
-        elif isinstance(kind, T.BinaryType):
-            whole = F.hex(c)
-        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-            whole = F.to_json(c)
-        else:
-            whole = c.cast("string")
-        short = F.octet_length(whole) <= SHORT_TEXT
-        text = F.when(short, whole).otherwise(F.sha2(whole, 256))
-    return long, double, text
+        text = c.cast("string")
+    short = F.octet_length(text) <= SHORT_TEXT
+    return "string", F.when(short, text).otherwise(F.sha2(text, 256))
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
@@ -199,11 +206,25 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     """
     cells = []
     for i, field in enumerate(df.schema.fields):
-        cells += [F.lit(i), *_distinct_key(ref(field.name), field.dataType)]
-    pairs = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("ordinal", "l", "d", "s"))
+        kind, key = _distinct_key(ref(field.name), field.dataType)
+        cells.append(F.lit(i))
+        cells += [key if k == kind else F.lit(None).cast(k) for k in KEY_KINDS]
+    pairs = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("ordinal", *KEY_KINDS))
     return pairs.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count"))
 
 
+def approx_distinct_counts(df: DataFrame) -> DataFrame:
+    """(ordinal, unique_count) estimated within five percent, in one aggregate without a shuffle of
+    values."""
+    counts, rows = [], []
+    for i, field in enumerate(df.schema.fields):
+        c = ref(field.name)
+        estimate = F.approx_count_distinct(_distinct_key(c, field.dataType)[1])
+        counts.append((estimate + F.max(c.isNull().cast("long"))).alias(f"u{i}"))
+        rows.append({"ordinal": F.lit(i), "unique_count": F.coalesce(f"u{i}", F.lit(0))})
+    return rows_from_one(df.agg(*counts), rows)
+
+
 def column_metrics(profiled: DataFrame) -> DataFrame:
     """A profile as one row holding one map from column name to its statistics."""
     body = [c for c in profiled.columns if c not in ("column_name", "ordinal")]
