@@ -11,6 +11,16 @@ from pyspark.sql import types as T
 from .columns import ref
 
 
+# Texts of more bytes than this are told apart by their SHA-256, which takes one byte more.
+SHORT_TEXT = 63
+
+
+def short_key(text: Column) -> Column:
+    """A text that is equal only for equal texts and never long: keeps shuffles of keys small."""
+    short = F.octet_length(text) <= SHORT_TEXT
+    return F.when(short, text).otherwise(F.sha2(text, 256))
+
+
 def as_text(c: Column, kind: T.DataType) -> Column:
     """Text of any column; nested values as JSON."""
     if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)):

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ref
+from ..functions.hashing import short_key
 
 
 def _holds_map(kind: T.DataType) -> bool:
@@ -60,14 +61,23 @@ def _smallest(df: DataFrame, keys: list[str], rest: list[str], maps: list[str])
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The distinct values of the columns with the number of their ``copies``. NULL equals NULL."""
-    keys = [
-        F.to_json(ref(c)).alias(c) if _holds_map(df.schema[c].dataType) else ref(c)
-        for c in columns
-    ]
+    """One row per distinct value of the columns, with the number of its ``copies``.
+
+    For counting only: long texts are replaced by hashes, so that the shuffle carries short keys.
+    NULL stays NULL and equals NULL.
+    """
+    keys = [_key(ref(c), df.schema[c].dataType).alias(c) for c in columns]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _key(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return short_key(c)
+    if isinstance(kind, (T.ArrayType, T.StructType)) or _holds_map(kind):
+        return short_key(F.to_json(c))
+    return c
+
+
 def dedup_counts(df: DataFrame, subset: Sequence[str] = ()) -> DataFrame:
     """One row: total_records, distinct_records, duplicate_records."""
     keys = [c for c in df.columns if c in subset] or df.columns

@@ -1,4 +1,4 @@
-"""Column profiles: one row per column, two readings of the table whatever its width."""
+"""Column profiles: one row per column, a fixed number of jobs whatever the width of the table."""
 
 from __future__ import annotations
 
@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import FRACTIONAL, TEMPORAL, quoted, ref, rows_from_one
-from .quantiles import quantiles
+from ..functions.hashing import short_key
+from .quantiles import approx_quantiles, quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Texts longer than this are told apart by their SHA-256 when distinct values are counted.
-SHORT_TEXT = 63
-
 # Output columns after the common ones, in order, with their types. Smallest and largest values
 # are text, so that large integers and decimals keep all digits.
 STATISTICS = {
@@ -46,15 +44,14 @@ def profile(
 ) -> DataFrame:
     """Profile every column.
 
-    Everything but the number of distinct values comes from one aggregate over the table. Distinct
-    values (NULL is one of them) are counted in a second one that turns the table into
-    (column, value) pairs; ``approx_distinct`` estimates them without moving values around.
+    Three aggregates over the table, which can run side by side, whatever its width: one for
+    everything that plain aggregates give; one for the quartiles; one for the distinct values (NULL
+    is one of them), which ``approx_distinct`` estimates without moving values around.
     Statistics of other kinds of columns are NULL. NaN takes no part in numeric statistics; it is
     counted in ``nan_count``.
     """
     fields = df.schema.fields
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    exact = quantiles(df, numeric, QUARTILES, exact=True) if exact_quantiles else {}
     aggs = {"n": "count(1)"}
     rows = []
     for i, field in enumerate(fields):
@@ -63,15 +60,6 @@ def profile(
         # Names of the aggregates end with the place of their column.
         aggs |= {f"nulls{i}": f"count_if({c} IS NULL)"}
         aggs |= {f"{name}{i}": sql for name, sql in more_aggs.items()}
-        if field.name in numeric:
-            if not exact_quantiles:
-                aggs[f"quartiles{i}"] = _approx_quartiles(c, field.dataType, relative_error)
-            for k, key in enumerate(("q1", "median", "q3")):
-                found = f"quartiles{{i}}[{k}]"
-                if exact_quantiles:
-                    values = exact[field.name]
-                    found = f"{values[k]!r}D" if values else "NULL"
-                statistics[key] = found
         cells = [f"{i} AS ordinal", "n AS total_records", f"nulls{i} AS null_count"]
         for key, kind in STATISTICS.items():
             value = statistics.get(key, "NULL").format(i=i)
@@ -79,10 +67,13 @@ def profile(
         rows.append(f"struct({', '.join(cells)})")
     one_row = df.selectExpr(*[f"{sql} AS {name}" for name, sql in aggs.items()])
     profiled = one_row.selectExpr(f"inline(array({', '.join(rows)}))")
-    # Both sides have one row per column of the profiled table.
-    profiled = profiled.join(
-        approx_distinct_counts(df) if approx_distinct else distinct_counts(df), "ordinal", "left"
-    )
+    # All sides have at most one row per column of the profiled table.
+    distinct = approx_distinct_counts(df) if approx_distinct else distinct_counts(df)
+    profiled = profiled.join(distinct, "ordinal", "left")
+    if numeric:
+        places = [i for i, f in enumerate(fields) if f.name in numeric]
+        quartiles = _quartiles(df, numeric, places, exact_quantiles, relative_error)
+        profiled = profiled.drop("q1", "median", "q3").join(quartiles, "ordinal", "left")
     place = F.col("ordinal") + 1
     return profiled.withColumns(
         {
@@ -104,10 +95,21 @@ def _without_nan(c: str, kind: T.DataType) -> str:
     return f"nanvl({c}, CAST(NULL AS {kind.simpleString()}))" if isinstance(kind, FRACTIONAL) else c
 
 
-def _approx_quartiles(c: str, kind: T.DataType, relative_error: float) -> str:
-    wanted = ", ".join(f"{p}D" for p in QUARTILES)
-    accuracy = max(1, round(1 / relative_error))
-    return f"percentile_approx({_without_nan(c, kind)}, array({wanted}), {accuracy})"
+def _quartiles(
+    df: DataFrame, columns: list[str], places: list[int], exact: bool, relative_error: float
+) -> DataFrame:
+    """(ordinal, q1, median, q3) of the numeric columns."""
+    if exact:
+        found = quantiles(df, columns, QUARTILES, exact=True)
+        rows = [(place, *(found[c] or (None,) * 3)) for c, place in zip(columns, places)]
+        return df.sparkSession.createDataFrame(
+            rows, "ordinal int, q1 double, median double, q3 double"
+        )
+    ordinal = F.element_at(F.lit(places), F.col("place") + 1)
+    return approx_quantiles(df, columns, QUARTILES, relative_error).select(
+        ordinal.alias("ordinal"),
+        *[F.col("found")[k].alias(name) for k, name in enumerate(("q1", "median", "q3"))],
+    )
 
 
 def _statistics(c: str, kind: T.DataType) -> tuple[dict[str, str], dict[str, str]]:
@@ -193,8 +195,7 @@ def _distinct_key(c: Column, kind: T.DataType) -> tuple[str, Column]:
         text = F.to_json(c)
     else:
         text = c.cast("string")
-    short = F.octet_length(text) <= SHORT_TEXT
-    return "string", F.when(short, text).otherwise(F.sha2(text, 256))
+    return "string", short_key(text)
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:

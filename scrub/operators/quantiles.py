@@ -1,6 +1,7 @@
 """Quantiles of many numeric columns at once, approximate or exact.
 
-NULL and NaN take no part. Both ways run aggregates only and bring back a few numbers per column.
+NULL and NaN take no part. Columns are unfolded into (column, value) pairs and aggregated by column,
+so that what the tasks send for each column is merged by a reducer of its own.
 
 The exact way never gathers a column in one task. It brackets the wanted ranks between two
 approximate quantiles, counts what lies below, on and between the two ends, and repeats inside
@@ -14,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,24 +24,41 @@ from ..functions.columns import nan_to_null, ref
 
 # Values, over all columns together, that built-in exact aggregates may take into one task.
 EXACT_VALUES = 5_000_000
-BRACKET_ACCURACY = 10_000
+BRACKET_ACCURACY = 1_000
+# Spark sorts instead of hashing when such an aggregate meets more groups than 128.
+COLUMNS_PER_PASS = 100
 
 
 def _value(df: DataFrame, name: str) -> Column:
     return nan_to_null(ref(name), df.schema[name].dataType)
 
 
-def approx_quantile_aggs(
+def _by_place(values: list[Column], df: DataFrame, measure: Column) -> DataFrame:
+    """(place, found): the aggregate ``measure`` of ``value`` for each of the columns given.
+
+    A column without any value has no row.
+    """
+    passes = []
+    for start in range(0, len(values), COLUMNS_PER_PASS):
+        part = values[start:start + COLUMNS_PER_PASS]
+        cells = [x for i, v in enumerate(part, start) for x in (F.lit(i), v)]
+        pairs = df.select(F.stack(F.lit(len(part)), *cells).alias("place", "value"))
+        passes.append(
+            pairs.where("value IS NOT NULL").groupBy("place").agg(measure.alias("found"))
+        )
+    return reduce(DataFrame.unionByName, passes)
+
+
+def approx_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], relative_error: float
-) -> list[Column]:
-    """One aggregate per column giving the array of its approximate quantiles, named by place."""
-    accuracy = max(1, round(1 / relative_error))
-    return [
-        F.percentile_approx(
-            _value(df, c), F.array(*[F.lit(float(p)) for p in probabilities]), accuracy
-        ).cast("array<double>").alias(f"q{i}")
-        for i, c in enumerate(columns)
-    ]
+) -> DataFrame:
+    """(place, found): approximate quantiles, as an array, of the column at that place in the list.
+
+    A column without values has no row.
+    """
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    measure = F.percentile_approx("value", wanted, max(1, round(1 / relative_error)))
+    return _by_place([_value(df, c).cast("double") for c in columns], df, measure)
 
 
 def quantiles(
@@ -59,8 +78,9 @@ def quantiles(
         return {}
     if exact:
         return _exact(df, columns, probabilities, exact_values)
-    row = df.agg(*approx_quantile_aggs(df, columns, probabilities, relative_error)).first()
-    return {c: row[i] for i, c in enumerate(columns)}
+    rows = approx_quantiles(df, columns, probabilities, relative_error).collect()
+    found = {r.place: r.found for r in rows}
+    return {c: found.get(i) for i, c in enumerate(columns)}
 
 
 @dataclass
@@ -155,14 +175,20 @@ def _finish(numbers: DataFrame, searches: list[_Search]) -> None:
 def _bracket(numbers: DataFrame, searches: list[_Search]) -> None:
     """One aggregate proposes the ends of smaller brackets, a second one counts around them."""
     margin = 2.0 / BRACKET_ACCURACY
-    proposals = []
-    for i, s in enumerate(searches):
-        value = F.col(s.column)
+    inside, shares = [], []
+    for s in searches:
+        inside.append(F.when(s.range_of(F.col(s.column)), F.col(s.column)))
         share = (s.first - s.below) / s.inside
-        ends = F.array(F.lit(max(share - margin, 0.0)), F.lit(min(share + margin, 1.0)))
-        inside = F.when(s.range_of(value), value)
-        proposals.append(F.percentile_approx(inside, ends, BRACKET_ACCURACY).alias(f"p{i}"))
-    proposed = numbers.agg(*proposals).first()
+        shares.append([max(share - margin, 0.0), min(share + margin, 1.0)])
+    # The wanted shares differ by search, so each pair of ends is picked from all of them.
+    every = sorted({x for ends in shares for x in ends})
+    measure = F.percentile_approx(
+        "value", F.array(*[F.lit(x) for x in every]), BRACKET_ACCURACY
+    )
+    found = {r.place: r.found for r in _by_place(inside, numbers, measure).collect()}
+    proposed = [
+        [found[i][every.index(x)] for x in ends] for i, ends in enumerate(shares)
+    ]
     counts = []
     for i, s in enumerate(searches):
         value, (low, high) = F.col(s.column), proposed[i]

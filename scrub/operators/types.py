@@ -126,18 +126,41 @@ def plan_conversions(
         target = explicit or (inferred or {}).get(field.name)
         if not target or same_type(field.dataType, target, options):
             continue
-        is_inferred = not explicit
+        plan.append(_conversion(df, field, target, not explicit, options))
+    return _keep_decimals_that_fit(df, _analysed(df, plan), options)
+
+
+def _conversion(
+    df: DataFrame, field: T.StructField, target: str, inferred: bool, options: ConvertOptions
+) -> Conversion:
+    try:
+        value = conversion_value(ref(field.name), field.dataType, target, options, inferred)
+    except PySparkException as problem:
+        return _failed(Conversion(field.name, target, inferred), problem)
+    return Conversion(field.name, target, inferred, value)
+
+
+def _analysed(df: DataFrame, plan: list[Conversion]) -> list[Conversion]:
+    """Mark the conversions that do not fit their column. Mostly all do: one look at all first."""
+    def fits(conversions: list[Conversion]) -> PySparkException | None:
         try:
-            value = conversion_value(
-                ref(field.name), field.dataType, target, options, is_inferred
-            )
-            df.select(value).schema
+            df.select(*[p.value for p in conversions]).schema
         except PySparkException as problem:
-            reason = str(problem).splitlines()[0]
-            plan.append(Conversion(field.name, target, is_inferred, error=reason))
-        else:
-            plan.append(Conversion(field.name, target, is_inferred, value))
-    return _keep_decimals_that_fit(df, plan, options)
+            return problem
+        return None
+
+    hopeful = [p for p in plan if p.value is not None]
+    if not hopeful or fits(hopeful) is None:
+        return plan
+    checked = []
+    for p in plan:
+        problem = None if p.value is None else fits([p])
+        checked.append(p if problem is None else _failed(p, problem))
+    return checked
+
+
+def _failed(p: Conversion, problem: Exception) -> Conversion:
+    return Conversion(p.column, p.target, p.inferred, error=str(problem).splitlines()[0])
 
 
 def _keep_decimals_that_fit(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -34,7 +34,14 @@ from ..operators.types import (
     infer_mapping,
     plan_conversions,
 )
-from ..sources.readers import read_table, repartition_by_rows, sample_if_large
+from ..sources.readers import (
+    CACHE_BELOW_BYTES,
+    read_table,
+    repartition_by_rows,
+    sample_if_large,
+    sized_shuffles,
+    source_bytes,
+)
 from ..sources.staging import materialize
 from ..sources.writers import write_metrics, write_quarantine, write_table
 from .config import CleaningConfig
@@ -59,15 +66,43 @@ class Shaped:
 
 @dataclass(frozen=True)
 class Result:
-    """Outputs of a run. ``profile`` is None when profiling is off."""
+    """Outputs of a run; frames are lazy and only built when asked for.
+
+    ``profile`` is None when profiling is off.
+    """
 
-    clean: DataFrame
+    config: CleaningConfig
+    shaped: Shaped
     judged: RuleResult
-    metrics: DataFrame
-    conversions: DataFrame
+    finished: DataFrame
     profile: DataFrame | None
+    stage: Stage
     schema_warnings: tuple[Issue, ...] = ()
 
+    @cached_property
+    def clean(self) -> DataFrame:
+        """The finished table with its audit columns; with profiling on, the score is one."""
+        score = None
+        if self.config.profiling:
+            score = self.metrics.select("overall_quality_score").scalar()
+        return add_audit(
+            self.finished.drop(MISSING), self.config.job_run_id, self.config.source, score
+        )
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """One row of counters and scores."""
+        finished = self.finished
+        if MISSING not in finished.columns:
+            finished = finished.withColumn(MISSING, missing_cells(finished))
+        metrics = run_metrics(
+            self.judged,
+            finished,
+            conversion_failures=sum(c.error is not None for c in self.shaped.conversions),
+            distinct=_stays_distinct(self.judged.clean, self.config),
+        )
+        return self.stage(metrics, "metrics")
+
     @property
     def quarantine(self) -> DataFrame:
         return self.judged.quarantined
@@ -76,6 +111,14 @@ class Result:
     def rule_counts(self) -> DataFrame:
         return self.judged.counts
 
+    @property
+    def conversions(self) -> DataFrame:
+        """Success of every type conversion."""
+        return conversion_report(
+            self.shaped.text, self.config.type_map, self.shaped.inferred,
+            self.config.convert_options,
+        )
+
 
 def shape(df: DataFrame, config: CleaningConfig) -> Shaped:
     """Clean strings, convert types and fill gaps. Inference runs one aggregate; the rest is lazy."""
@@ -120,25 +163,9 @@ def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Resul
     judged = judge(shaped.df, config)
     judged = RuleResult(stage(judged.tagged, "judged"), judged.rules, judged.status)
     finished = finish(judged.clean, config)
-    counted = finished.withColumn(MISSING, missing_cells(finished))
-    if config.profiling:
-        counted = stage(counted, "finished")
-    metrics = run_metrics(
-        judged,
-        counted,
-        width=len(data_columns(finished)),
-        conversion_failures=sum(c.error is not None for c in shaped.conversions),
-        distinct=_stays_distinct(judged.clean, config),
-    )
-    score = None
     if config.profiling:
-        metrics = stage(metrics, "metrics")
-        score = metrics.select("overall_quality_score").scalar()
-    clean = add_audit(counted.drop(MISSING), config.job_run_id, config.source, score)
-    conversions = conversion_report(
-        shaped.text, config.type_map, shaped.inferred, config.convert_options
-    )
-    return Result(clean, judged, metrics, conversions, profiled, warnings_)
+        finished = stage(finished.withColumn(MISSING, missing_cells(finished)), "finished")
+    return Result(config, shaped, judged, finished, profiled, stage, warnings_)
 
 
 def _stays_distinct(deduplicated: DataFrame, config: CleaningConfig) -> bool:
@@ -151,7 +178,6 @@ def _stays_distinct(deduplicated: DataFrame, config: CleaningConfig) -> bool:
 def run_metrics(
     judged: RuleResult,
     finished: DataFrame,
-    width: int,
     conversion_failures: int,
     distinct: bool,
 ) -> DataFrame:
@@ -160,6 +186,7 @@ def run_metrics(
     The scores describe the finished table. When its rows are known to be ``distinct``, because
     duplicates were just removed, consistency needs no second shuffle to be known.
     """
+    columns = [c for c in data_columns(finished) if c != MISSING]
     parts = [
         judged.tagged.agg(*judged.totals()),
         finished.agg(
@@ -169,12 +196,11 @@ def run_metrics(
         ),
     ]
     if not distinct:
-        parts.append(dedup_counts(finished, data_columns(finished.drop(MISSING)))
-                     .select("distinct_records"))
+        parts.append(dedup_counts(finished, columns).select("distinct_records"))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     both = both.agg(*[F.max(c).alias(c) for c in both.columns])
     total = F.col("output_records")
-    cells = total * width
+    cells = total * len(columns)
     failures = (
         F.col("validation_failures") + F.lit(conversion_failures) + F.col("quarantined_records")
     )
@@ -229,19 +255,27 @@ def run(
         config = CleaningConfig.from_dict(config)
     if not config.target:
         raise ValueError("no target to write to")
+    size = 0
     if df is None:
         if not config.source:
             raise ValueError("no source to read")
         csv = config.csv_options if config.input_format == "csv" else {}
         df = read_table(spark, config.source, config.input_format, **csv)
+        size = source_bytes(spark, config.source)
+    with sized_shuffles(df.sparkSession, size):
+        return _run(df, config, size, mode)
+
+
+def _run(df: DataFrame, config: CleaningConfig, size: int, mode: str) -> Result:
     cached = None
-    if config.sampling or config.repartitions or config.cache_below:
+    may_cache = config.cache_below and size < CACHE_BELOW_BYTES
+    if config.sampling or config.repartitions or may_cache:
         records = df.count()
         if config.sampling:
             df = sample_if_large(df, config.sample_fraction, config.sample_seed, records=records)
         if config.repartitions:
             df = repartition_by_rows(df, records, *config.partition_bounds)
-        if records < config.cache_below:
+        if may_cache and records < config.cache_below:
             cached = df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result = plan(df, config, stage=materialize)

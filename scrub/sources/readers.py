@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("csv", "json", "parquet")
@@ -13,6 +16,13 @@ CACHE_BELOW = 50_000_000
 ROWS_PER_PARTITION = 1_000_000
 MIN_PARTITIONS, MAX_PARTITIONS = 1, 200
 
+# A source of more bytes than this is not even counted to find out whether to cache it.
+CACHE_BELOW_BYTES = 64 * 2**30
+# Bytes of source per shuffle partition, and the most partitions a shuffle may have.
+BYTES_PER_SHUFFLE_PARTITION = 512 * 2**20
+MAX_SHUFFLE_PARTITIONS = 20_000
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def check_format(fmt: str) -> str:
     name = fmt.lower()
@@ -94,3 +104,25 @@ def repartition_by_rows(
     """Spread ``records`` rows over partitions of about ``rows`` each. A full shuffle: cleaning runs
     do it only when asked to, and otherwise keep the scan's own partitions."""
     return df.repartition(partitions_for(records, rows, lo, hi))
+
+
+def source_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Size of all files below ``path``; lists them and opens none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, size: int):
+    """Within, shuffles have enough partitions for a source of ``size`` bytes; never fewer than the
+    session asks for. Adaptive execution merges those that turn out small."""
+    asked = spark.conf.get(SHUFFLE_PARTITIONS)
+    wanted = min(size // BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS)
+    if wanted <= int(asked):
+        yield
+        return
+    spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, asked)
