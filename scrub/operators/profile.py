@@ -2,27 +2,72 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import FRACTIONAL, TEMPORAL, quoted, ref, rows_from_one
+from ..functions.columns import TEMPORAL, quoted, ref, rows_from_one
 from ..functions.hashing import short_key
 from .quantiles import approx_quantiles, quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
-# Output columns after the common ones, in order, with their types. Smallest and largest values
-# are text, so that large integers and decimals keep all digits.
+KEY_KINDS = ("long", "double", "string")
+NUMERIC_KINDS = ("whole", "decimal", "float", "double")
+
+
+def _for_kinds(sql: str, *kinds: str) -> str:
+    names = ", ".join(f"'{k}'" for k in kinds)
+    return f"CASE WHEN kind IN ({names}) THEN {sql} END"
+
+
+def _number(sql: str) -> str:
+    return _for_kinds(sql, *NUMERIC_KINDS)
+
+
+def _value(end: str, exact: str) -> str:
+    """Smallest or largest number as text, so that large integers and decimals keep all digits."""
+    return f"""CASE kind WHEN 'whole' THEN CAST({end}_long AS STRING) WHEN 'decimal' THEN {exact}
+    WHEN 'float' THEN CAST(CAST({end}_double AS FLOAT) AS STRING)
+    WHEN 'double' THEN CAST({end}_double AS STRING) END"""
+
+
+def _part(one: str) -> str:
+    return _for_kinds(f"CASE WHEN yes + no > 0 THEN {one} / (yes + no) * 100 ELSE 0D END", "boolean")
+
+
+# Output columns after the common ones, in order, as SQL over what the aggregates found. Statistics
+# of other kinds of columns are NULL.
 STATISTICS = {
-    "min_length": "int", "max_length": "int", "avg_length": "double",
-    "empty_string_count": "long", "whitespace_only_count": "long",
-    "min_value": "string", "max_value": "string", "mean": "double", "std_dev": "double",
-    "variance": "double", "q1": "double", "median": "double", "q3": "double",
-    "zero_count": "long", "negative_count": "long", "nan_count": "long",
-    "min_date": "string", "max_date": "string", "date_range_days": "long",
-    "true_count": "long", "false_count": "long",
-    "true_percentage": "double", "false_percentage": "double",
+    "min_length": "shortest",
+    "max_length": "longest",
+    "avg_length": _for_kinds("coalesce(round(usual_length, 2), 0D)", "text"),
+    "empty_string_count": _for_kinds("empty", "text"),
+    "whitespace_only_count": _for_kinds("blank", "text"),
+    "min_value": _value("min", "least"),
+    "max_value": _value("max", "most"),
+    "mean": _number("coalesce(round(average, 4), 0D)"),
+    "std_dev": _number("coalesce(round(sqrt(spread), 4), 0D)"),
+    "variance": _number("coalesce(round(spread, 4), 0D)"),
+    "q1": "quartiles[0]",
+    "median": "quartiles[1]",
+    "q3": "quartiles[2]",
+    "zero_count": _number("zeros"),
+    "negative_count": _number("negatives"),
+    "nan_count": _number("nans"),
+    "min_date": _for_kinds("least", "time"),
+    "max_date": _for_kinds("most", "time"),
+    "date_range_days": _for_kinds("coalesce(days, 0L)", "time"),
+    "true_count": _for_kinds("yes", "boolean"),
+    "false_count": _for_kinds("no", "boolean"),
+    "true_percentage": _part("yes"),
+    "false_percentage": _part("no"),
 }
+COUNTS = [
+    "total_records", "known", "empty", "blank", "zeros", "negatives", "nans", "yes", "no",
+    "unique_count",
+]
 COMMON = (
     "column_name", "ordinal", "data_type", "total_records", "null_count", "null_percentage",
     "unique_count", "uniqueness_percentage",
@@ -44,136 +89,149 @@ def profile(
 ) -> DataFrame:
     """Profile every column.
 
-    Three aggregates over the table, which can run side by side, whatever its width: one for
-    everything that plain aggregates give; one for the quartiles; one for the distinct values (NULL
-    is one of them), which ``approx_distinct`` estimates without moving values around.
+    A few aggregates over the table, which can run side by side, whatever its width: counts and
+    moments of all columns, extremes of those that have no common type, quartiles, and distinct
+    values (NULL is one of them), which ``approx_distinct`` estimates without moving values around.
+    All but the quartiles and extremes unfold the table into (column, value) pairs and so stay a
+    few expressions: one aggregate over many columns is code too large for the JVM to compile.
     Statistics of other kinds of columns are NULL. NaN takes no part in numeric statistics; it is
     counted in ``nan_count``.
     """
     fields = df.schema.fields
-    numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    aggs = {"n": "count(1)"}
-    rows = []
-    for i, field in enumerate(fields):
-        c = quoted(field.name)
-        more_aggs, statistics = _statistics(c, field.dataType)
-        # Names of the aggregates end with the place of their column.
-        aggs |= {f"nulls{i}": f"count_if({c} IS NULL)"}
-        aggs |= {f"{name}{i}": sql for name, sql in more_aggs.items()}
-        cells = [f"{i} AS ordinal", "n AS total_records", f"nulls{i} AS null_count"]
-        for key, kind in STATISTICS.items():
-            value = statistics.get(key, "NULL").format(i=i)
-            cells.append(f"CAST({value} AS {kind}) AS {key}")
-        rows.append(f"struct({', '.join(cells)})")
-    one_row = df.selectExpr(*[f"{sql} AS {name}" for name, sql in aggs.items()])
-    profiled = one_row.selectExpr(f"inline(array({', '.join(rows)}))")
-    # All sides have at most one row per column of the profiled table.
-    distinct = approx_distinct_counts(df) if approx_distinct else distinct_counts(df)
-    profiled = profiled.join(distinct, "ordinal", "left")
-    if numeric:
-        places = [i for i, f in enumerate(fields) if f.name in numeric]
-        quartiles = _quartiles(df, numeric, places, exact_quantiles, relative_error)
-        profiled = profiled.drop("q1", "median", "q3").join(quartiles, "ordinal", "left")
+    kinds = [_kind(f.dataType) for f in fields]
+    # Every part has at most one row per column of the profiled table.
+    parts = [
+        _statistics(df, kinds),
+        _extremes(df, kinds),
+        _quartiles(df, kinds, exact_quantiles, relative_error),
+        approx_distinct_counts(df) if approx_distinct else distinct_counts(df),
+    ]
+    listed = df.sparkSession.range(len(kinds)).selectExpr("CAST(id AS INT) AS ordinal")
+    joined = reduce(lambda a, b: a.join(b, "ordinal", "left"), parts, listed)
+    # The columns of an empty table have no counts to join.
+    joined = joined.fillna(0, COUNTS)
     place = F.col("ordinal") + 1
-    return profiled.withColumns(
+    named = joined.withColumns(
         {
             "column_name": F.element_at(F.lit([f.name for f in fields]), place),
             "data_type": F.element_at(F.lit([f.dataType.simpleString() for f in fields]), place),
-            "unique_count": F.coalesce("unique_count", F.lit(0)),
-            "null_percentage": _share(F.col("null_count")),
-            "uniqueness_percentage": _share(F.coalesce("unique_count", F.lit(0))),
+            "kind": F.element_at(F.lit(kinds), place),
+            "null_count": F.expr("total_records - known"),
+        }
+    ).withColumns(
+        {
+            "null_percentage": _share("null_count"),
+            "uniqueness_percentage": _share("unique_count"),
         }
-    ).select(*COMMON, *STATISTICS)
+    )
+    return named.select(
+        *COMMON, *[F.expr(sql).alias(name) for name, sql in STATISTICS.items()]
+    )
 
 
-def _share(part: Column) -> Column:
+def _share(part: str) -> Column:
     total = F.col("total_records")
-    return F.when(total > 0, part / total * 100).otherwise(F.lit(0.0))
+    return F.when(total > 0, F.col(part) / total * 100).otherwise(F.lit(0.0))
+
+
+def _kind(kind: T.DataType) -> str:
+    for name, types in (
+        ("text", T.StringType), ("decimal", T.DecimalType), ("float", T.FloatType),
+        ("double", T.DoubleType), ("whole", T.NumericType), ("time", TEMPORAL),
+        ("boolean", T.BooleanType),
+    ):
+        if isinstance(kind, types):
+            return name
+    return "other"
+
+
+def _unfold(df: DataFrame, cells: list[tuple[Column, Column, Column]]) -> DataFrame:
+    """(ordinal, long, double, string) for every column of every row; see ``_cell``."""
+    flat = [x for i, cell in enumerate(cells) for x in (F.lit(i), *cell)]
+    return df.select(F.stack(F.lit(len(cells)), *flat).alias("ordinal", *KEY_KINDS))
+
 
+def _cell(**values: Column) -> tuple[Column, Column, Column]:
+    return tuple(values[k] if k in values else F.lit(None).cast(k) for k in KEY_KINDS)
 
-def _without_nan(c: str, kind: T.DataType) -> str:
-    return f"nanvl({c}, CAST(NULL AS {kind.simpleString()}))" if isinstance(kind, FRACTIONAL) else c
+
+def _measured(c: Column, kind: str) -> tuple[Column, Column, Column]:
+    """What the statistics of a column look at; a column of no particular kind is only counted."""
+    if kind == "text":
+        return _cell(string=c)
+    if kind == "whole":
+        return _cell(long=c.cast("long"), double=c.cast("double"))
+    if kind in ("decimal", "float", "double"):
+        return _cell(double=c.cast("double"))
+    if kind == "boolean":
+        return _cell(long=c.cast("long"))
+    return _cell(long=F.when(c.isNotNull(), F.lit(1).cast("long")))
+
+
+def _statistics(df: DataFrame, kinds: list[str]) -> DataFrame:
+    """Counts and moments by ordinal. One aggregate of a few expressions, however wide the table."""
+    pairs = _unfold(df, [_measured(ref(c), k) for c, k in zip(df.columns, kinds)])
+    pairs = pairs.withColumn("v", F.nanvl("double", F.lit(None).cast("double")))
+    aggregates = {
+        "total_records": "count(1)",
+        "known": "count_if(long IS NOT NULL OR double IS NOT NULL OR string IS NOT NULL)",
+        "shortest": "min(length(string))",
+        "longest": "max(length(string))",
+        "usual_length": "avg(length(string))",
+        "empty": "count_if(string = '')",
+        "blank": "count_if(NOT string RLIKE r'\\S')",
+        "min_long": "min(long)",
+        "max_long": "max(long)",
+        "min_double": "min(v)",
+        "max_double": "max(v)",
+        "average": "avg(v)",
+        "spread": "var_samp(v)",
+        "zeros": "count_if(v = 0)",
+        "negatives": "count_if(v < 0)",
+        "nans": "count_if(isnan(double))",
+        "yes": "count_if(long = 1)",
+        "no": "count_if(long = 0)",
+    }
+    return pairs.groupBy("ordinal").agg(*[F.expr(x).alias(n) for n, x in aggregates.items()])
+
+
+def _extremes(df: DataFrame, kinds: list[str]) -> DataFrame:
+    """(ordinal, least, most, days) of decimals and times, which have no common type to unfold to."""
+    aggregates, rows = [], []
+    for i, kind in enumerate(kinds):
+        if kind in ("decimal", "time"):
+            c = quoted(df.columns[i])
+            aggregates += [f"min({c}) AS lo{i}", f"max({c}) AS hi{i}"]
+            days = f"timestampdiff(DAY, lo{i}, hi{i})" if kind == "time" else "CAST(NULL AS LONG)"
+            rows.append(
+                f"struct({i} AS ordinal, CAST(lo{i} AS STRING) AS least, "
+                f"CAST(hi{i} AS STRING) AS most, {days} AS days)"
+            )
+    if not rows:
+        return df.sparkSession.createDataFrame(
+            [], "ordinal int, least string, most string, days long"
+        )
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _quartiles(
-    df: DataFrame, columns: list[str], places: list[int], exact: bool, relative_error: float
+    df: DataFrame, kinds: list[str], exact: bool, relative_error: float
 ) -> DataFrame:
-    """(ordinal, q1, median, q3) of the numeric columns."""
-    if exact:
+    """(ordinal, quartiles) of the numeric columns."""
+    places = [i for i, kind in enumerate(kinds) if kind in NUMERIC_KINDS]
+    columns = [df.columns[i] for i in places]
+    if exact or not places:
         found = quantiles(df, columns, QUARTILES, exact=True)
-        rows = [(place, *(found[c] or (None,) * 3)) for c, place in zip(columns, places)]
         return df.sparkSession.createDataFrame(
-            rows, "ordinal int, q1 double, median double, q3 double"
+            [(i, found[c]) for i, c in zip(places, columns)],
+            "ordinal int, quartiles array<double>",
         )
-    ordinal = F.element_at(F.lit(places), F.col("place") + 1)
     return approx_quantiles(df, columns, QUARTILES, relative_error).select(
-        ordinal.alias("ordinal"),
-        *[F.col("found")[k].alias(name) for k, name in enumerate(("q1", "median", "q3"))],
+        F.element_at(F.lit(places), F.col("place") + 1).alias("ordinal"),
+        F.col("found").alias("quartiles"),
     )
 
 
-def _statistics(c: str, kind: T.DataType) -> tuple[dict[str, str], dict[str, str]]:
-    """Aggregates of one column by name, and its statistics over their results.
-
-    SQL text on both sides: a table may have thousands of columns, and one text is one call.
-    ``{i}`` stands for the place of the column.
-    """
-    if isinstance(kind, T.StringType):
-        return {
-            "minlen": f"min(length({c}))",
-            "maxlen": f"max(length({c}))",
-            "avglen": f"avg(length({c}))",
-            "empty": f"count_if({c} = '')",
-            "blank": f"count_if(NOT {c} RLIKE r'\\S')",
-        }, {
-            "min_length": "minlen{i}",
-            "max_length": "maxlen{i}",
-            "avg_length": "coalesce(round(avglen{i}, 2), 0D)",
-            "empty_string_count": "empty{i}",
-            "whitespace_only_count": "blank{i}",
-        }
-    if isinstance(kind, T.NumericType):
-        value = _without_nan(c, kind)
-        wide = f"CAST({value} AS DOUBLE)"
-        return {
-            "min": f"min({value})",
-            "max": f"max({value})",
-            "mean": f"avg({wide})",
-            "std": f"stddev({wide})",
-            "var": f"variance({wide})",
-            "zero": f"count_if({value} = 0)",
-            "neg": f"count_if({value} < 0)",
-            "nan": f"count_if(({value}) IS NULL AND {c} IS NOT NULL)",
-        }, {
-            "min_value": "min{i}",
-            "max_value": "max{i}",
-            "mean": "coalesce(round(mean{i}, 4), 0D)",
-            "std_dev": "coalesce(round(std{i}, 4), 0D)",
-            "variance": "coalesce(round(var{i}, 4), 0D)",
-            "zero_count": "zero{i}",
-            "negative_count": "neg{i}",
-            "nan_count": "nan{i}",
-        }
-    if isinstance(kind, TEMPORAL):
-        return {"min": f"min({c})", "max": f"max({c})"}, {
-            "min_date": "min{i}",
-            "max_date": "max{i}",
-            "date_range_days": "coalesce(timestampdiff(DAY, min{i}, max{i}), 0L)",
-        }
-    if isinstance(kind, T.BooleanType):
-        share = "CASE WHEN yes{{i}} + no{{i}} > 0 THEN {0}{{i}} / (yes{{i}} + no{{i}}) * 100 ELSE 0D END"
-        return {"yes": f"count_if({c})", "no": f"count_if(NOT {c})"}, {
-            "true_count": "yes{i}",
-            "false_count": "no{i}",
-            "true_percentage": share.format("yes"),
-            "false_percentage": share.format("no"),
-        }
-    return {}, {}
-
-
-KEY_KINDS = ("long", "double", "string")
-
-
 def _distinct_key(c: Column, kind: T.DataType) -> tuple[str, Column]:
     """One of the key kinds, and a key of that kind that is equal only for equal values.
 
@@ -205,12 +263,8 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     repeated values collapse before the shuffle, so a value that fills a third of a column costs
     one pair per task.
     """
-    cells = []
-    for i, field in enumerate(df.schema.fields):
-        kind, key = _distinct_key(ref(field.name), field.dataType)
-        cells.append(F.lit(i))
-        cells += [key if k == kind else F.lit(None).cast(k) for k in KEY_KINDS]
-    pairs = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("ordinal", *KEY_KINDS))
+    keys = [_distinct_key(ref(f.name), f.dataType) for f in df.schema.fields]
+    pairs = _unfold(df, [_cell(**{kind: key}) for kind, key in keys])
     return pairs.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count"))
 
 

@@ -1,7 +1,7 @@
 """Quantiles of many numeric columns at once, approximate or exact.
 
-NULL and NaN take no part. Columns are unfolded into (column, value) pairs and aggregated by column,
-so that what the tasks send for each column is merged by a reducer of its own.
+NULL and NaN take no part. Every task sends a digest per column, whose size grows with the accuracy.
+Small digests of all columns are merged in one place; larger ones by a reducer for each column.
 
 The exact way never gathers a column in one task. It brackets the wanted ranks between two
 approximate quantiles, counts what lies below, on and between the two ends, and repeats inside
@@ -20,11 +20,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import nan_to_null, ref
+from ..functions.columns import nan_to_null, ref, rows_from_one
 
 # Values, over all columns together, that built-in exact aggregates may take into one task.
 EXACT_VALUES = 5_000_000
 BRACKET_ACCURACY = 1_000
+# Up to this accuracy a digest is a few kilobytes and a single reducer merges those of all columns.
+SMALL_ACCURACY = 200
 # Spark sorts instead of hashing when such an aggregate meets more groups than 128.
 COLUMNS_PER_PASS = 100
 
@@ -57,8 +59,15 @@ def approx_quantiles(
     A column without values has no row.
     """
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    measure = F.percentile_approx("value", wanted, max(1, round(1 / relative_error)))
-    return _by_place([_value(df, c).cast("double") for c in columns], df, measure)
+    accuracy = max(1, round(1 / relative_error))
+    values = [_value(df, c).cast("double") for c in columns]
+    if accuracy > SMALL_ACCURACY:
+        return _by_place(values, df, F.percentile_approx("value", wanted, accuracy))
+    one_row = df.agg(
+        *[F.percentile_approx(v, wanted, accuracy).alias(f"q{i}") for i, v in enumerate(values)]
+    )
+    rows = [{"place": F.lit(i), "found": F.col(f"q{i}")} for i in range(len(values))]
+    return rows_from_one(one_row, rows).where("found IS NOT NULL")
 
 
 def quantiles(

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import ref, rows_from_one
 from ..functions.hashing import row_hash
-from .nulls import any_missing
+from .nulls import any_missing, drop_null_keys
 
 VERDICT = "__verdict"
 HIT = "__hit_{}"
@@ -71,11 +71,20 @@ class Rule:
 
 @dataclass(frozen=True)
 class RuleResult:
-    """The tagged table and its readings. All frames are lazy."""
+    """The tagged table and its readings. All frames are lazy.
+
+    ``filtered`` is set when all the rules do is drop rows: the clean rows as plain filters, which
+    can reach the scan where a verdict cannot.
+    """
 
     tagged: DataFrame
     rules: tuple[Rule, ...]
     status: tuple[str, ...]
+    filtered: DataFrame | None = None
+
+    def over(self, tagged: DataFrame) -> RuleResult:
+        """The same result read from another copy of the tagged table, such as a stored one."""
+        return RuleResult(tagged, self.rules, self.status)
 
     @cached_property
     def _visible(self) -> list[str]:
@@ -85,6 +94,8 @@ class RuleResult:
     @property
     def clean(self) -> DataFrame:
         """Rows no rule took out."""
+        if self.filtered is not None:
+            return self.filtered
         kept = self.tagged.filter(F.col(VERDICT).isNull())
         return kept.select(*[ref(c) for c in self._visible])
 
@@ -195,6 +206,7 @@ def apply_rules(
     start = F.when(missing_key, NULL_KEY) if missing_key is not None else F.lit(None).cast("int")
     tagged = df.withColumn(VERDICT, start.cast("int"))
     waiting: list[tuple[int, Column]] = []
+    filtered: DataFrame | None = drop_null_keys(df, null_keys)
     status = []
     for i, rule in enumerate(rules):
         problem = _reason_to_skip(tagged, rule, quarantine)
@@ -202,15 +214,20 @@ def apply_rules(
             status.append(problem)
             continue
         bad = F.expr(rule.expression)
-        if rule.action is Action.DROP_ROW and unknown == "drop":
+        if rule.action is not Action.DROP_ROW:
+            filtered = None
+        elif unknown == "drop":
+            filtered = None if filtered is None else filtered.filter(~bad)
             bad = F.coalesce(bad, F.lit(True))
+        elif filtered is not None:
+            filtered = filtered.filter(~F.coalesce(bad, F.lit(False)))
         if rule.takes_rows_out:
             waiting.append((i, bad))
         else:
             tagged = _change(_settle(tagged, waiting), i, rule, bad)
             waiting = []
         status.append("applied")
-    return RuleResult(_settle(tagged, waiting), tuple(rules), tuple(status))
+    return RuleResult(_settle(tagged, waiting), tuple(rules), tuple(status), filtered)
 
 
 def _settle(df: DataFrame, waiting: list[tuple[int, Column]]) -> DataFrame:

@@ -282,9 +282,6 @@ def infer_shares(
         return spark.createDataFrame([], SHARES_SCHEMA)
     cells = [x for i, name in enumerate(wanted) for x in (F.lit(i), ref(name))]
     pairs = df.select(F.stack(F.lit(len(wanted)), *cells).alias("place", "value"))
-    # One pair without a value per column, so that columns of an empty table are listed too.
-    listed = spark.range(len(wanted)).select(F.col("id").cast("int").alias("place"))
-    pairs = pairs.unionByName(listed, allowMissingColumns=True)
     c = F.col("value")
     probes = {
         "boolean_share": parse.boolean_word(c),
@@ -296,9 +293,11 @@ def infer_shares(
     counted = pairs.groupBy("place").agg(
         F.count(c).alias("n"), *[F.count_if(probe).alias(key) for key, probe in probes.items()]
     )
-    name = F.element_at(F.array(*[F.lit(n) for n in wanted]), F.col("place") + 1)
-    size = F.col("n")
-    return counted.select(
+    # The columns of an empty table have no pairs, but are listed all the same.
+    listed = spark.range(len(wanted)).select(F.col("id").cast("int").alias("place"))
+    name = F.element_at(F.lit(wanted), F.col("place") + 1)
+    size = F.coalesce("n", F.lit(0))
+    return listed.join(counted, "place", "left").select(
         name.alias("column_name"),
         size.alias("non_null_count"),
         *[F.when(size > 0, F.col(k) / size).otherwise(F.lit(0.0)).alias(k) for k in probes],

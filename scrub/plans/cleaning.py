@@ -161,7 +161,8 @@ def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Resul
     profiled = stage(profile(df), "profile") if config.profiling else None
     shaped = shape(df, config)
     judged = judge(shaped.df, config)
-    judged = RuleResult(stage(judged.tagged, "judged"), judged.rules, judged.status)
+    if stage is not _lazily:
+        judged = judged.over(stage(judged.tagged, "judged"))
     finished = finish(judged.clean, config)
     if config.profiling:
         finished = stage(finished.withColumn(MISSING, missing_cells(finished)), "finished")

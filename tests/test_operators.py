@@ -289,6 +289,14 @@ def test_profile_of_every_type(spark):
     assert estimated == {k: v.unique_count for k, v in found.items() if k != "m"}
 
 
+def test_profile_of_columns_without_values(spark):
+    df = spark.sql("SELECT CAST(NULL AS DOUBLE) d, CAST(NULL AS INT) i, CAST(NULL AS STRING) s")
+    for r in scrub.profile(df).collect():
+        assert (r.min_value, r.max_value, r.q1, r.min_length) == (None,) * 4
+        assert (r.total_records, r.null_count, r.unique_count) == (1, 1, 1)
+        assert r.mean in (None, 0.0)
+
+
 def test_long_texts_are_told_apart(spark):
     long = "x" * 5000
     df = spark.createDataFrame([(long + "a",), (long + "b",), (long + "b",), ("x",)], "s string")
