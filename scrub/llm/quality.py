@@ -48,7 +48,7 @@ RULES = (
     Threshold("long_words", "word_chars - 14 * n_words", at_most=0),
     Threshold("symbols", "10 * n_symbols - n_words", at_most=0),
     Threshold("stop_words", "n_stop_words", at_least=2),
-    Threshold("repeated_lines", "10 * n_dup_lines - 3 * n_lines", at_most=0),
+    Threshold("repeated_lines", "10 * n_dup_lines - 5 * n_lines", at_most=0),
     Threshold("shouting", "10 * n_exclaimed - 3 * n_words", at_most=0),
 )
 MEASURES = (
