@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding, substrings
+from . import quality, sharding, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,12 @@ def op7_quality_rules(spark, sf_dir):
 def op1_substring_dedup(spark, sf_dir):
     found = substrings.remove_repeats(read(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark, sf_dir):
+    found = suffixes.remove_repeated_bytes(read(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
