@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding, substrings, suffixes
+from . import packing, quality, sharding, substrings, suffixes, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,13 @@ def read(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """The vocabulary file of the public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query("op4_sharding")
 def op4_sharding(spark, sf_dir):
     return sharding.shard_documents(read(spark, sf_dir), 40)
@@ -52,3 +59,14 @@ def op8_suffix_array_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op5_token_files")
+def op5_token_files(spark, sf_dir):
+    index = tokenfiles.write_tokens(read(spark, sf_dir), tokenfiles.token_folder(spark), word_bpe())
+    return tokenfiles.read_tokens(index)
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(read(spark, sf_dir), word_bpe())
