@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, sharding, substrings, suffixes, tokenfiles
+from . import contamination, packing, quality, sharding, substrings, suffixes, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op5_token_files(spark, sf_dir):
 @query("op6_best_fit_packing")
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir), word_bpe())
+
+
+@query("op9_decontamination", contamination.ORACLE)
+def op9_decontamination(spark, sf_dir):
+    return contamination.find_contained(read(spark, sf_dir), read(spark, sf_dir, "benchmark"))

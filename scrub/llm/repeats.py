@@ -224,16 +224,21 @@ def _by_document(docs: DataFrame, *told: tuple[str, DataFrame]) -> DataFrame:
     return docs
 
 
+def own_key(docs: DataFrame, key: str):
+    """The key as it was, from ``id``."""
+    return F.when(F.col("id") != NULL_ID, F.col("id")).cast(docs.schema[key].dataType).alias(key)
+
+
 def with_answers(docs: DataFrame, shape: Shape, key: str, text: str) -> DataFrame:
-    """(id, text, lists of places ...) from which ``repeat_windows`` reads the answer."""
+    """(id, text, lists of places ...) from which ``repeat_windows`` reads the answer.
+
+    All steps need the same two columns, so the text has one exchange that they share.
+    """
     source = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.col(key).alias("key"),
+        F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    body = source.select("id", "text")
     fields, pair = "id long, place int, n long", "key long, whole long, id long, place int, n long"
-    phrases = body.mapInArrow(_emit(shape, 0), "key long, " + fields)
+    phrases = source.mapInArrow(_emit(shape, 0), "key long, " + fields)
     state = _by_document(source, ("alone0", _alone(phrases, F.sum("n"))))
     columns = ["id", "text", "alone0"]
 

@@ -15,14 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import kernels as K
 from . import repeats
 
 #: Words of an anchor. Fewer make fewer phrases, but more of them share an anchor by chance.
 GRAM = 6
-SCHEMA = "key long, n_words long, n_removed long, spans array<struct<first:int,words:int>>, kept string"
+SCHEMA = "id long, n_words long, n_removed long, spans array<struct<first:int,words:int>>, kept string"
 
 
 def factors(removed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,11 +72,11 @@ def _answers(shape: repeats.Shape):
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(part.schema.get_field_index("key")),
+                        part.column(0),
                         pa.array(np.diff(scan.first)), pa.array(gone[scan.first[1:]] - gone[scan.first[:-1]]),
                         pa.ListArray.from_arrays(pa.array(by.astype(np.int32)), spans), kept,
                     ],
-                    ["key", "n_words", "n_removed", "spans", "kept"],
+                    ["id", "n_words", "n_removed", "spans", "kept"],
                 )
 
     return run
@@ -93,5 +92,5 @@ def remove_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text:
     """
     shape = repeats.Shape("word", window, min(GRAM, window))
     state = repeats.with_answers(docs, shape, key, text)
-    found = state.mapInArrow(_answers(shape), SCHEMA.replace("key long", f"key {dict(docs.dtypes)[key]}"))
-    return found.select(F.col("key").alias(key), "n_words", "n_removed", "spans", "kept")
+    found = state.mapInArrow(_answers(shape), SCHEMA)
+    return found.select(repeats.own_key(docs, key), "n_words", "n_removed", "spans", "kept")

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import kernels as K
 from . import repeats
@@ -30,7 +29,7 @@ from .substrings import factors
 
 #: First prefix length, and how many neighbouring strings the second round takes together.
 FIRST_LENGTH, TOGETHER = 24, 9
-SCHEMA = "key long, n_bytes long, n_removed long, spans array<struct<first:int,bytes:int>>, kept binary"
+SCHEMA = "id long, n_bytes long, n_removed long, spans array<struct<first:int,bytes:int>>, kept binary"
 
 
 def _answers(shape: repeats.Shape):
@@ -57,10 +56,10 @@ def _answers(shape: repeats.Shape):
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(part.schema.get_field_index("key")), pa.array(np.diff(texts.offsets)),
+                        part.column(0), pa.array(np.diff(texts.offsets)),
                         pa.array(lost), pa.ListArray.from_arrays(pa.array(by.astype(np.int32)), spans), kept,
                     ],
-                    ["key", "n_bytes", "n_removed", "spans", "kept"],
+                    ["id", "n_bytes", "n_removed", "spans", "kept"],
                 )
 
     return run
@@ -78,5 +77,5 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, key: str = "doc_id
     first = min(FIRST_LENGTH, max(1, length - TOGETHER + 1))
     shape = repeats.Shape("byte", length, first, min(TOGETHER, length - first + 1))
     state = repeats.with_answers(docs, shape, key, text)
-    found = state.mapInArrow(_answers(shape), SCHEMA.replace("key long", f"key {dict(docs.dtypes)[key]}"))
-    return found.select(F.col("key").alias(key), "n_bytes", "n_removed", "spans", "kept")
+    found = state.mapInArrow(_answers(shape), SCHEMA)
+    return found.select(repeats.own_key(docs, key), "n_bytes", "n_removed", "spans", "kept")
