@@ -1,7 +1,7 @@
 """Token ids as Arrow files of equal-length sequences and masks, and random access to them.
 
 A file is Arrow's file format of the stream: record batches with the columns ``ids``
-(fixed_size_list<uint32>[length]) and ``mask`` (fixed_size_list<uint8>[length]). Every sequence has the same
+(fixed_size_list<uint16>[length], uint32 for vocabularies over 65 536) and ``mask`` (fixed_size_list<bool>[length]). Every sequence has the same
 width, so the i-th lies at a computed place of a computed batch and is read without a copy where
 the file can be mapped. A file holds the documents of one range of keys in order, end to end; only
 its last sequence is padded, with id 0 and mask 0.
@@ -32,8 +32,10 @@ SEQUENCES_PER_BATCH = 256
 END = 1
 
 
-def schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def schema(length: int, vocabulary: int) -> pa.Schema:
+    """The narrowest ids that hold the vocabulary."""
+    kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def file_system(uri: str):
@@ -46,8 +48,9 @@ def file_system(uri: str):
 class Writer:
     """Appends ids to a file, cut into sequences."""
 
-    def __init__(self, uri: str, length: int):
-        self.length, self.schema = length, schema(length)
+    def __init__(self, uri: str, length: int, vocabulary: int):
+        self.length, self.schema = length, schema(length, vocabulary)
+        self.kind = self.schema.field("ids").type.value_type.to_pandas_dtype()
         system, name = file_system(uri)
         system.create_dir(name.rpartition("/")[0], recursive=True)
         self.sink = system.open_output_stream(name)
@@ -68,8 +71,8 @@ class Writer:
             self.waiting, self.count = [ids[whole:]], len(ids) - whole
 
     def _batch(self, ids: np.ndarray, size: int) -> None:
-        padded, mask = np.zeros(size, np.uint32), np.zeros(size, np.uint8)
-        padded[:len(ids)], mask[:len(ids)] = ids, 1
+        padded, mask = np.zeros(size, self.kind), np.zeros(size, bool)
+        padded[:len(ids)], mask[:len(ids)] = ids, True
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)]
         self.file.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
@@ -100,7 +103,8 @@ class Reader:
         """Ids and mask of the i-th sequence."""
         batch, row = self._load(i // SEQUENCES_PER_BATCH), i % SEQUENCES_PER_BATCH
         cut = slice(row * self.length, (row + 1) * self.length)
-        return tuple(np.asarray(batch.column(c).flatten())[cut] for c in (0, 1))
+        ids, mask = (batch.column(c).flatten()[cut] for c in (0, 1))
+        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
 
     def pieces(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from ``start`` on, a batch at a time."""
@@ -120,14 +124,15 @@ class Reader:
 
 def _write(folder: str, path: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path).encode
+        encoder = tokens.encoder(path)
+        vocabulary = max(encoder.tokenizer.get_vocab_size(), end + 1)
         context = TaskContext.get()
         uri = f"{folder}/part-{context.partitionId():06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.arrow"
         writer = None
         for batch in batches:
             for part, texts in K.chunks(batch):
-                writer = writer or Writer(uri, length)
-                ids, offsets = encode(texts, end)
+                writer = writer or Writer(uri, length, vocabulary)
+                ids, offsets = encoder.encode(texts, end)
                 starts = writer.total + offsets[:-1]
                 writer.append(ids)
                 n = len(texts)
