@@ -130,6 +130,35 @@ def chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa
         at = to
 
 
+@lru_cache(maxsize=1)
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", 3)
+
+
+def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, size, body): the text compressed, for an exchange that is read many times."""
+    for batch in batches:
+        data, offsets = buffer_of(batch.column(1))
+        at = offsets.tolist()
+        bodies = [_codec().compress(data[a:b], asbytes=True) if b > a else b"" for a, b in zip(at, at[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(offsets)), pa.array(bodies, pa.binary())], ["id", "size", "body"]
+        )
+
+
+def unzipped(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """The same slices as ``chunks``, of a batch (id, size, body, ...)."""
+    ends = np.append(0, np.cumsum(np.asarray(batch.column(1))))
+    at, n = 0, batch.num_rows
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+        part = batch.slice(at, to - at)
+        sizes = np.diff(ends[at:to + 1]).tolist()
+        texts = [_codec().decompress(b.as_buffer(), k, asbytes=True) if k else b"" for b, k in zip(part.column(2), sizes)]
+        yield part, Texts(part.column(0), np.frombuffer(b"".join(texts), np.uint8), ends[at:to + 1] - ends[at])
+        at = to
+
+
 def words_of(texts: Texts) -> Words:
     """Runs of bytes that are neither a blank nor 0x09 to 0x0D."""
     n = len(texts.data)

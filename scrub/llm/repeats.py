@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 
 NULL_ID = -(1 << 63)
+#: Stands for the place of a key that a task has seen more than once.
+MANY = -1
 
 
 @dataclass(frozen=True)
@@ -146,11 +148,16 @@ def _least(keys, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _rows(names: list[str], keys: list[np.ndarray], scan: Scan, ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """A row for each key: the first place that has it."""
     document = scan.document(places)
     own, local = ids[document], places - scan.first[document]
     kept, count = _least(keys, own, local)
-    columns = [k[kept].view(np.int64) for k in keys] + [own[kept], local[kept].astype(np.int32), count.astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "id", "place", "n"])
+    if len(keys) == 1:
+        local = np.where(count > 1, MANY, local[kept])
+    else:
+        local = local[kept]
+    columns = [k[kept].view(np.int64) for k in keys] + [own[kept], local.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "id", "place"])
 
 
 def _emit(shape: Shape, step: int):
@@ -158,7 +165,7 @@ def _emit(shape: Shape, step: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in K.chunks(batch):
+            for part, texts in (K.unzipped if step else K.chunks)(batch):
                 scan = Scan(shape, texts)
                 ids = np.asarray(part.column(0))
                 if step == 0:
@@ -210,10 +217,10 @@ def _first(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key", "whole").agg(F.min("id").alias("id"), F.min_by("place", "id").alias("place"))
 
 
-def _alone(rows: DataFrame, count) -> DataFrame:
+def _alone(rows: DataFrame) -> DataFrame:
     """Places whose key nothing else has."""
-    sums = rows.groupBy("key").agg(count.alias("n"), F.min("id").alias("id"), F.min("place").alias("place"))
-    return sums.where("n = 1")
+    sums = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min("place").alias("place"))
+    return sums.where(f"n = 1 AND place <> {MANY}")
 
 
 def _by_document(docs: DataFrame, *told: tuple[str, DataFrame]) -> DataFrame:
@@ -230,24 +237,23 @@ def own_key(docs: DataFrame, key: str):
 
 
 def with_answers(docs: DataFrame, shape: Shape, key: str, text: str) -> DataFrame:
-    """(id, text, lists of places ...) from which ``repeat_windows`` reads the answer.
+    """(id, size, body, lists of places ...) from which ``repeat_windows`` reads the answer.
 
-    All steps need the same two columns, so the text has one exchange that they share.
+    All steps read the same columns, so the compressed texts have one exchange that they share.
     """
     source = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    fields, pair = "id long, place int, n long", "key long, whole long, id long, place int, n long"
-    phrases = source.mapInArrow(_emit(shape, 0), "key long, " + fields)
-    state = _by_document(source, ("alone0", _alone(phrases, F.sum("n"))))
-    columns = ["id", "text", "alone0"]
+    phrases = source.mapInArrow(_emit(shape, 0), "key long, id long, place int")
+    state = _by_document(source.mapInArrow(K.zipped, "id long, size long, body binary"), ("alone0", _alone(phrases)))
+    columns = ["id", "size", "body", "alone0"]
 
     def next_step(step: int, alone: bool) -> None:
         nonlocal state
-        first = _first(state.select(*columns).mapInArrow(_emit(shape, step), pair))
+        first = _first(state.select(*columns).mapInArrow(_emit(shape, step), "key long, whole long, id long, place int"))
         told = [(f"first{step}", first)]
         if alone:
-            told.append((f"alone{step}", _alone(first, F.count(F.lit(1)))))
+            told.append((f"alone{step}", _alone(first)))
         state = _by_document(state, *told)
         columns.extend(name for name, _ in told)
 

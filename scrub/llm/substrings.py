@@ -55,7 +55,7 @@ def joined(texts: K.Texts, words: K.Words, kept: np.ndarray) -> tuple[np.ndarray
 def _answers(shape: repeats.Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in K.chunks(batch):
+            for part, texts in K.unzipped(batch):
                 scan = repeats.Scan(shape, texts)
                 removed = repeats.covered(repeats.repeat_windows(scan, part), shape.window)
                 gone = np.append(0, np.cumsum(removed))
