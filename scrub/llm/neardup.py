@@ -30,7 +30,8 @@ SHINGLE = 5
 PERCENT = 80
 #: At a similarity of 0.8, 20 bands of 4 registers miss a pair with a probability of 0.00003.
 BANDS, ROWS = 20, 4
-#: Rounds in which each bucket is compared with one of its texts; what they leave is compared in full.
+#: Rounds in which each bucket is compared with one of its texts. They only save work: whatever they
+#: leave apart is compared in full.
 STARS = 3
 _U = np.uint64
 
@@ -108,13 +109,30 @@ def _signatures(bands: int, rows: int):
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (leaf, id, seen): each key of a bag once, and how often it was seen (1 or 2 for more)."""
+    for batch in batches:
+        for part, texts in K.chunks(batch):
+            leaves, document, _ = bags(texts)
+            order = np.argsort(leaves, kind="stable")
+            leaves, document = leaves[order], document[order]
+            new = np.ones(len(leaves), bool)
+            new[1:] = leaves[1:] != leaves[:-1]
+            at = np.flatnonzero(new)
+            seen = np.minimum(np.diff(np.append(at, len(leaves))), 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(leaves[at].view(np.int64)), part.column(0).take(pa.array(document[at])), pa.array(seen)],
+                ["leaf", "id", "seen"],
+            )
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, K.Texts, K.Texts]]:
     for part, left in K.chunks(batch, K.CHUNK_BYTES // 2):
         yield part, left, K.Texts(part.column(0), *K.buffer_of(part.column(2)))
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, text of a, text of b, b) to (a, b, both, either): sizes of the two multisets' meet and join."""
+    """(c, text of a, text of b, d) to (c, d, both, either): sizes of the two multisets' meet and join."""
     for batch in batches:
         for part, one, two in _slices(batch):
             (x, dx, ex), (y, dy, ey) = bags(one), bags(two)
@@ -125,31 +143,85 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.bincount(pair[same], minlength=len(one))
             either = np.diff(ex) + np.diff(ey) - both
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(3), pa.array(both), pa.array(either)], ["a", "b", "both", "either"]
+                [part.column(0), part.column(3), pa.array(both), pa.array(either)], ["c", "d", "both", "either"]
             )
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose multisets are at least ``percent`` similar."""
+def overlaps(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(c, d, both, either) for pairs (a, b, c, d): sizes of the meet and the join of a's and b's multisets."""
     left = bodies.select(F.col("id").alias("a"), F.col("text").alias("one"))
     right = bodies.select(F.col("id").alias("b"), F.col("text").alias("two"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "one", "two", "b")
-    sizes = joined.mapInArrow(_overlaps, "a long, b long, both long, either long")
-    return sizes.where(f"both * 100 >= {percent} * either").select("a", "b").distinct()
+    joined = pairs.join(left, "a").join(right, "b").select("c", "one", "two", "d")
+    return joined.mapInArrow(_overlaps, "c long, d long, both long, either long")
+
+
+def alike(sizes: DataFrame, percent: int) -> DataFrame:
+    return sizes.where(f"both * 100 >= {percent} * either").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
+
 
+def _own(texts: DataFrame) -> DataFrame:
+    """(id, own): how many of its shingles no other of the texts has."""
+    seen = texts.select("id", "text").mapInArrow(_shingles, "leaf long, id long, seen long")
+    alone = seen.groupBy("leaf").agg(F.sum("seen").alias("seen"), F.min("id").alias("id")).where("seen = 1")
+    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
 
-def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one text of each bucket with all texts of it that are in other components."""
-    centers = members.groupBy("band", "key").agg(
-        F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("center"),
-        F.min_by("component", F.xxhash64("id", F.lit(turn))).alias("of"),
+
+def _possible(members: DataFrame, percent: int) -> DataFrame:
+    """Without the members that share too few shingles with any other text to be near any of their bucket.
+
+    Of a pair of n and m shingles, P percent alike, P / (100 + P) of n + m are common, and m is at least
+    P percent of n and at least the least of the bucket.
+    """
+    least = members.groupBy("band", "key").agg(F.min("n").alias("least"))
+    m = F.greatest(F.col("least") * 100, F.col("n") * percent)
+    enough = (F.col("n") - F.col("own")) * (100 * (100 + percent)) >= (F.col("n") * 100 + m) * percent
+    return members.join(least, ["band", "key"]).where(enough).drop("least")
+
+
+def _centers(members: DataFrame, turn: int) -> DataFrame:
+    """A text of each bucket that still is in several components.
+
+    The first time that is the text with the fewest shingles of its own, the likeliest to be what the
+    others were copied from; later any.
+    """
+    order = F.xxhash64("id", F.lit(turn))
+    if turn == 0:
+        order = F.col("own") * (1 << 32) + F.pmod(order, F.lit(1 << 32))
+    return members.groupBy("band", "key").agg(
+        F.min_by("id", order).alias("b"), F.min_by("component", order).alias("d"),
         F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where("low <> high").select("band", "key", "center", "of")
-    return members.join(centers, ["band", "key"]).where("component <> of").select(
-        F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b")
+    ).where("low <> high").select("band", "key", "b", "d")
+
+
+def _star(members: DataFrame, centers: DataFrame) -> DataFrame:
+    """Pairs of the center of each bucket with all texts of it that are in other components."""
+    return members.join(centers, ["band", "key"]).where("component <> d").select(
+        F.col("id").alias("a"), "b", F.col("component").alias("c"), "d"
     ).distinct()
 
 
+def _apart(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a bucket, are in different components and can be alike.
+
+    What two texts have in common is in the first center of their bucket, or is not; what they share
+    with it (``hub``) and what they share with nobody bounds both parts.
+    """
+    mixed = members.groupBy("band", "key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low <> high").select("band", "key")
+    rest = F.col("n") - F.col("hub") - F.col("own")
+    left = members.join(mixed, ["band", "key"]).select(
+        "band", "key", F.col("id").alias("a"), F.col("component").alias("c"),
+        F.col("n").alias("n1"), F.col("hub").alias("h1"), rest.alias("r1"),
+    )
+    right = members.select(
+        "band", "key", F.col("id").alias("b"), F.col("component").alias("d"),
+        F.col("n").alias("n2"), F.col("hub").alias("h2"), rest.alias("r2"),
+    )
+    able = F.expr(f"a < b AND c <> d AND (least(h1, h2) + least(r1, r2)) * {100 + percent} >= (n1 + n2) * {percent}")
+    return left.join(right, ["band", "key"]).where(able).select("a", "b", "c", "d").distinct()
+
+
 def classes(
     docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -161,9 +233,9 @@ def classes(
     (NULL, empty, blank) is alone in its class. Rows that share a key are one document, whose links
     are those of all its texts; a NULL key is one key, and the smallest. Other columns play no part.
 
-    A bucket of many texts is never compared pair by pair to begin with: it is compared with one of its
+    A bucket of many texts is not compared pair by pair to begin with: it is compared with one of its
     texts, in ``STARS`` rounds with different ones, and texts that have met in a component need no
-    further comparison. Only pairs that share a bucket and are still apart then are compared directly.
+    further comparison. Pairs that share a bucket and are still apart then are compared directly.
     """
     bodies = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -171,35 +243,48 @@ def classes(
     signed = materialize(
         bodies.mapInArrow(_signatures(bands, rows), "id long, n long, bag1 long, bag2 long, bands array<long>"), "signatures"
     )
+    some = signed.where("n > 0")
     distinct = materialize(
-        signed.where("n > 0").groupBy("bag1", "bag2").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "bags"
+        some.groupBy("bag1", "bag2").agg(
+            F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
+        ), "bags",
     )
-    member_of = signed.where("n > 0").join(distinct.select("bag1", "bag2", "rep"), ["bag1", "bag2"]).select("id", "rep")
-    exploded = distinct.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
+    copies = some.join(distinct.select("bag1", "bag2", "rep"), ["bag1", "bag2"]).where("id <> rep").select(
+        F.col("id").alias("a"), F.col("rep").alias("b")
+    )
+    exploded = distinct.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    buckets = materialize(exploded.join(shared.select("band", "key"), ["band", "key"]), "buckets")
-
-    # Copies under another id that also has other texts keep their links through these.
-    links = materialize(member_of.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
-    near = None
+    members = materialize(exploded.join(shared.select("band", "key"), ["band", "key"]), "buckets")
+    texts = materialize(bodies.join(members.select("id").distinct(), "id", "left_semi"), "suspects")
+    own = members.join(_own(texts), "id", "left").select(
+        "band", "key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"), F.col("id").alias("component")
+    )
+    members = materialize(_possible(own, percent), "buckets")
     for turn in range(STARS + 1):
-        if near is None:
-            members = buckets.withColumn("component", F.col("id"))
-        else:
-            found = materialize(components(near), "components")
-            members = buckets.join(found, buckets.id == found.node, "left").select(
-                "band", buckets.key, "id", F.coalesce("component", "id").alias("component")
-            )
         if turn < STARS:
-            pairs = _star(members, turn)
+            centers = _centers(members, turn)
+            pairs = _star(members, centers)
         else:
-            other = members.select("band", "key", F.col("id").alias("b"), F.col("component").alias("with"))
-            apart = members.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            open_ = members.join(apart.select("band", "key"), ["band", "key"])
-            pairs = open_.join(other, ["band", "key"]).where("id < b AND component <> with").select(F.col("id").alias("a"), "b").distinct()
-        links_now = materialize(verified(pairs, bodies, percent), "near")
-        near = links_now if near is None else near.unionByName(links_now)
-    found = components(near.unionByName(links))
+            pairs = _apart(members, percent)
+        sizes = overlaps(pairs, texts)
+        if turn == 0:  # every text is a component of its own yet
+            sizes = materialize(sizes, "sizes")
+            hubs = members.join(centers, ["band", "key"]).join(
+                sizes.select(F.col("c").alias("id"), F.col("d").alias("b"), "both"), ["id", "b"], "left"
+            )
+            members = materialize(hubs.select(
+                "band", "key", "id", "n", "own", F.coalesce("both", "n").alias("hub"), "component"
+            ), "buckets")
+        links = materialize(alike(sizes, percent), "near")
+        if not links.isEmpty():
+            found = components(links)
+            members = materialize(
+                members.join(found, members.component == found.node, "left").select(
+                    "band", "key", "id", "n", "own", "hub", F.coalesce(found.component, members.component).alias("component")
+                ), "buckets",
+            )
+    near = members.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = components(near.unionByName(copies))
     return signed.select("id").distinct().join(found, F.col("id") == F.col("node"), "left").select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias(key),
         F.when(F.coalesce("component", "id") != NULL_ID, F.coalesce("component", "id")).alias("class_id"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, packing, quality, sharding, substrings, suffixes, tokenfiles
+from . import contamination, neardup, packing, quality, sharding, substrings, suffixes, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op6_best_fit_packing(spark, sf_dir):
 @query("op9_decontamination", contamination.ORACLE)
 def op9_decontamination(spark, sf_dir):
     return contamination.find_contained(read(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
+@query("op2_near_duplicates")
+def op2_near_duplicates(spark, sf_dir):
+    return neardup.classes(read(spark, sf_dir))
