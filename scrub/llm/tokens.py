@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
 from . import kernels as K
 
 #: Different words that a task remembers. Beyond this it forgets all and starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
+
+
+#: Marks that a tokenizer splits off a letter before them.
+MARKS = {ord(c): c.encode() for c in ".,!?;:"}
 
 
 class Encoder:
     """Encodes texts word by word and remembers the ids of words.
 
     Words are what ASCII white space separates. That gives the ids of the whole text for tokenizers
-    that split at white space, drop it, and look at nothing across it, as ``word_bpe_49k`` does.
+    that lower all letters, split at white space and between letters and marks, drop white space, and
+    look at nothing across it, as ``word_bpe_49k`` does. So a word is looked up in lower case, and one
+    that ends in a letter and a mark is put together from the two.
     """
 
     def __init__(self, path: str):
@@ -26,53 +33,66 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.sizes = np.zeros(1 << 16, np.int64)
+        # The empty word stands for the end of a text.
+        self.known: dict[bytes, int] = {b"": 0}
+        self.sizes = np.ones(1 << 16, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
-        )
-        ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.used = 1
+
+    def add(self, words: list[bytes], ids: list[list[int]]) -> None:
         at, n = len(self.known), len(words)
-        while at + n > len(self.sizes):
-            self.sizes, self.starts = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.starts, 2 * len(self.starts))
+        sizes = np.fromiter(map(len, ids), np.int64, n)
         total = int(sizes.sum())
+        while at + n > len(self.sizes):
+            self.sizes, self.starts = (np.resize(x, 2 * len(x)) for x in (self.sizes, self.starts))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.sizes[at:at + n] = sizes
         self.starts[at:at + n] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.used += total
         self.known.update(zip(words, range(at, at + n)))
 
+    def ids_of(self, word: bytes) -> list[int]:
+        at = self.known[word]
+        return self.ids[self.starts[at]:self.starts[at] + self.sizes[at]].tolist()
+
+    def learn(self, words: set[bytes]) -> None:
+        marked = [w for w in words if w[-1] in MARKS and w[-2:-1].isalpha()]
+        whole = words.difference(marked).union(w[:-1] for w in marked).union(MARKS.values() if marked else ())
+        whole = list(whole.difference(self.known))
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in whole], add_special_tokens=False)
+        self.add(whole, [e.ids for e in found])
+        if marked:
+            marks = {m: self.ids_of(t) for m, t in MARKS.items()}
+            self.add(marked, [self.ids_of(w[:-1]) + marks[w[-1]] for w in marked])
+
     def encode(self, texts: K.Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and where each text begins."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        split = [texts.text(i).split() for i in range(len(texts))]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = [w for part in split for w in part]
-        new = list(set(words).difference(self.known))
+        self.ids[0] = end
+        data = texts.data.tobytes()
+        if b"<|" not in data:  # special tokens are known by their case
+            data = data.lower()
+        at = texts.offsets.tolist()
+        words: list[bytes] = []
+        counts = np.empty(len(texts), np.int64)
+        for i, (a, b) in enumerate(zip(at, at[1:])):
+            before = len(words)
+            words += data[a:b].split()
+            words.append(b"")
+            counts[i] = len(words) - before
+        new = set(words).difference(self.known)
         if new:
             self.learn(new)
         which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[which]
         before = np.append(0, np.cumsum(sizes))
-        edges = np.append(0, np.cumsum(counts))
-        offsets = before[edges] + np.arange(len(edges))
-        out = np.empty(int(offsets[-1]), np.uint32)
-        document = np.repeat(np.arange(len(split)), counts)
-        shift = self.starts[which] - before[:-1]
-        total = int(before[-1])
-        source = np.repeat(shift, sizes) + np.arange(total)
-        out[np.arange(total) + np.repeat(document, sizes)] = self.ids[source]
-        out[offsets[1:] - 1] = end
-        return out, offsets
+        source = np.repeat(self.starts[which] - before[:-1], sizes)
+        source += np.arange(len(source))
+        return self.ids[source], before[np.append(0, np.cumsum(counts))]
 
 
 @lru_cache(maxsize=2)
