@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, neardup, packing, quality, sharding, substrings, suffixes, tokenfiles
+from . import contamination, lines, neardup, packing, quality, sharding, substrings, suffixes, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,9 @@ def op9_decontamination(spark, sf_dir):
 @query("op2_near_duplicates")
 def op2_near_duplicates(spark, sf_dir):
     return neardup.classes(read(spark, sf_dir))
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark, sf_dir):
+    found = lines.remove_lines(read(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
