@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import os
+import re
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 
 from . import kernels as K
 
 #: Different words that a task remembers. Beyond this it forgets all and starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
+#: Words that the tokenizer gets in one call.
+AT_ONCE = 4_000
 
 
-#: Marks that a tokenizer splits off a letter before them.
-MARKS = {ord(c): c.encode() for c in ".,!?;:"}
+#: A mark after a letter at the end of a word: the tokenizer begins a new token there.
+MARK = re.compile(rb"(?<=[a-zA-Z])[.,!?;:](?=[ \n]|$)")
 
 
 class Encoder:
@@ -22,11 +27,13 @@ class Encoder:
 
     Words are what ASCII white space separates. That gives the ids of the whole text for tokenizers
     that lower all letters, split at white space and between letters and marks, drop white space, and
-    look at nothing across it, as ``word_bpe_49k`` does. So a word is looked up in lower case, and one
-    that ends in a letter and a mark is put together from the two.
+    look at nothing across it, as ``word_bpe_49k`` does. So words are looked up in lower case, and a mark
+    after the last letter of a word is a word of its own.
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of its own would only take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -35,8 +42,8 @@ class Encoder:
     def forget(self) -> None:
         # The empty word stands for the end of a text.
         self.known: dict[bytes, int] = {b"": 0}
-        self.sizes = np.ones(1 << 16, np.int64)
-        self.starts = np.zeros(1 << 16, np.int64)
+        self.sizes = np.ones(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 16, np.int32)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 1
 
@@ -54,19 +61,11 @@ class Encoder:
         self.used += total
         self.known.update(zip(words, range(at, at + n)))
 
-    def ids_of(self, word: bytes) -> list[int]:
-        at = self.known[word]
-        return self.ids[self.starts[at]:self.starts[at] + self.sizes[at]].tolist()
-
-    def learn(self, words: set[bytes]) -> None:
-        marked = [w for w in words if w[-1] in MARKS and w[-2:-1].isalpha()]
-        whole = words.difference(marked).union(w[:-1] for w in marked).union(MARKS.values() if marked else ())
-        whole = list(whole.difference(self.known))
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in whole], add_special_tokens=False)
-        self.add(whole, [e.ids for e in found])
-        if marked:
-            marks = {m: self.ids_of(t) for m, t in MARKS.items()}
-            self.add(marked, [self.ids_of(w[:-1]) + marks[w[-1]] for w in marked])
+    def learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), AT_ONCE):
+            part = words[at:at + AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+            self.add(part, [e.ids for e in found])
 
     def encode(self, texts: K.Texts, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and where each text begins."""
@@ -81,13 +80,12 @@ class Encoder:
         counts = np.empty(len(texts), np.int64)
         for i, (a, b) in enumerate(zip(at, at[1:])):
             before = len(words)
-            words += data[a:b].split()
+            words += MARK.sub(rb" \g<0>", data[a:b]).split()
             words.append(b"")
             counts[i] = len(words) - before
-        new = set(words).difference(self.known)
-        if new:
-            self.learn(new)
-        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.learn(list(set(words).difference(self.known)))
+        found = itemgetter(*words, b"")(self.known)
+        which = np.fromiter(found, np.int64, len(found))[:-1]
         sizes = self.sizes[which]
         before = np.append(0, np.cumsum(sizes))
         source = np.repeat(self.starts[which] - before[:-1], sizes)
