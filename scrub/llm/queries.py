@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, lines, neardup, packing, quality, sharding, substrings, suffixes, tokenfiles
+from . import contamination, language, lines, neardup, packing, quality, sharding, substrings, suffixes, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,9 @@ def op2_near_duplicates(spark, sf_dir):
 def op10_line_dedup(spark, sf_dir):
     found = lines.remove_lines(read(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir)
+    return language.identify(docs, language.fit(docs))
