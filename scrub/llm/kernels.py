@@ -136,13 +136,14 @@ def _codec() -> pa.Codec:
 
 
 def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, size, body): the text compressed, for an exchange that is read many times."""
+    """(id, text, ...) to (id, size, body, ...): the text compressed, for an exchange that is read many times."""
     for batch in batches:
         data, offsets = buffer_of(batch.column(1))
         at = offsets.tolist()
         bodies = [_codec().compress(data[a:b], asbytes=True) if b > a else b"" for a, b in zip(at, at[1:])]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(offsets)), pa.array(bodies, pa.binary())], ["id", "size", "body"]
+            [batch.column(0), pa.array(np.diff(offsets)), pa.array(bodies, pa.binary()), *batch.columns[2:]],
+            ["id", "size", "body", *batch.schema.names[2:]],
         )
 
 

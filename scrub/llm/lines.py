@@ -180,9 +180,10 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = pa.StringArray.from_buffers(
                 len(texts), pa.py_buffer(np.array(offsets, np.int32).tobytes()), pa.py_buffer(b"".join(data))
             )
+            rest = [part.column(part.schema.get_field_index("rest"))] if "rest" in part.schema.names else []
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(np.diff(has[begin])), pa.array(np.diff(by).astype(np.int64)), numbers, kept],
-                ["id", "n_lines", "n_removed", "removed", "kept"],
+                [part.column(0), pa.array(np.diff(has[begin])), pa.array(np.diff(by).astype(np.int64)), numbers, kept, *rest],
+                ["id", "n_lines", "n_removed", "removed", "kept", *["rest"][:len(rest)]],
             )
 
 
@@ -236,25 +237,40 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     return places.join(gone, "name", "left_semi").select("place.id", F.col("place.line").alias("place"))
 
 
-def remove_lines(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_lines(
+    docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", carry: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: key, n_lines (with a word), n_removed, ``removed`` line numbers, ``kept`` text.
 
     A line is what line breaks separate. It is removed when its token set has a Jaccard similarity of
     ``percent`` or more with that of an earlier line (smaller key, or same key and earlier line), judged
     on the input. Lines without a word stay. A NULL text is empty. Rows that share a key are one document
-    at the same places; a NULL key is the smallest. Other columns play no part.
+    at the same places; a NULL key is the smallest. Other columns play no part; with ``carry`` the whole row
+    comes along as the struct ``row``, with the text replaced by what is kept.
     """
     source = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(repeats.NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
+    rest = [c for c in docs.columns if c != text] if carry else []
+    boxed = [F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")] if rest else []
+    wide = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(repeats.NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+        *boxed,
+    )
+    carried = f", rest {wide.schema['rest'].dataType.simpleString()}" if rest else ""
     counted = source.mapInArrow(_count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     counts = np.zeros(COUNTERS, np.int64)
     for row in counted.collect():  # COUNTERS rows at most, whatever the size of the corpus
         counts[row.counter] = row.n
     near = materialize(_near(source, counts, percent), "near")
     first = repeats._first(source.mapInArrow(_sets, "key long, whole long, id long, place int"))
-    state = repeats._by_document(
-        source.mapInArrow(K.zipped, "id long, size long, body binary"), ("first", first), ("near", near)
+    packed = wide.mapInArrow(K.zipped, "id long, size long, body binary" + carried)
+    state = repeats._by_document(packed, ("first", first), ("near", near))
+    found = state.mapInArrow(
+        _rebuild, "id long, n_lines long, n_removed long, removed array<int>, kept string" + carried
     )
-    found = state.mapInArrow(_rebuild, "id long, n_lines long, n_removed long, removed array<int>, kept string")
-    return found.select(repeats.own_key(docs, key), "n_lines", "n_removed", "removed", "kept")
+    report = found.select(repeats.own_key(docs, key), "n_lines", "n_removed", "removed", "kept", *(["rest"] if rest else []))
+    if not carry:
+        return report
+    fields = [F.col("kept").alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    return report.select(key, "n_lines", "n_removed", "removed", "kept", F.struct(*fields).alias("row"))

@@ -289,3 +289,12 @@ def classes(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias(key),
         F.when(F.coalesce("component", "id") != NULL_ID, F.coalesce("component", "id")).alias("class_id"),
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose key is the smallest of their class, unchanged. Rows that share a key are
+    one document, and stay or go together."""
+    extra = classes(docs, key=key, text=text, **options).where(~F.col(key).eqNullSafe(F.col("class_id"))).select(
+        F.col(key).alias("_extra")
+    )
+    return docs.join(extra, F.col(key).eqNullSafe(F.col("_extra")), "left_anti")
