@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import materialize
 from .quality import WORD
 
 SHINGLE = 5
@@ -72,7 +73,8 @@ def find_contained(
     signature = signatures(tests, percent)
     few = signature.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     probes = _hashed(bodies, "doc").select("doc", F.explode(shingle_hashes("_h")).alias("hash"))
-    candidates = probes.join(F.broadcast(signature) if few else signature, "hash").select("doc", "item").distinct()
+    matches = probes.join(F.broadcast(signature) if few else signature, "hash").select("doc", "item").distinct()
+    candidates = materialize(matches, "candidates")
 
     # Exact: the shingles of documents and items that have a candidate, as texts.
     suspects = candidates.select(F.col("doc").alias("_doc")).distinct()

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are looked at together. A longer document is looked at alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Odd multipliers of the two independent fingerprints.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -35,18 +35,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    up = np.full(n, base, np.uint64)
-    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd number and of its inverse, modulo 2^64."""
-    up, down = _powers(base, max(16, int(n).bit_length()))
+    """The first ``n`` powers of an odd number and of its inverse, modulo 2^64.
+
+    A worker keeps one table per number, as long as its longest chunk of text.
+    """
+    up, down = _TABLES.get(base, (np.zeros(0, np.uint64),) * 2)
+    if len(up) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        up, down = _TABLES[base] = np.cumprod(up), np.cumprod(down)
     return up[:n], down[:n]
 
 

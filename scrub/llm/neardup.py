@@ -33,6 +33,8 @@ BANDS, ROWS = 20, 4
 #: Rounds in which each bucket is compared with one of its texts. They only save work: whatever they
 #: leave apart is compared in full.
 STARS = 3
+#: Ids of candidates that are broadcast at most (they are counted first); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _U = np.uint64
 
 
@@ -255,7 +257,9 @@ def classes(
     exploded = distinct.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     members = materialize(exploded.join(shared.select("band", "key"), ["band", "key"]), "buckets")
-    texts = materialize(bodies.join(members.select("id").distinct(), "id", "left_semi"), "suspects")
+    ids = members.select("id").distinct()
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = materialize(bodies.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "suspects")
     own = members.join(_own(texts), "id", "left").select(
         "band", "key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"), F.col("id").alias("component")
     )
