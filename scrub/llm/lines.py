@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import materialize
@@ -35,13 +35,27 @@ NEWLINE = 10
 _U = np.uint64
 
 
+def _in_order(line: np.ndarray, tokens: np.ndarray, counts: np.ndarray | None) -> np.ndarray:
+    """An order by line, then count, then token; without counts by line and token."""
+    bits = max(1, int(line[-1]).bit_length()) if len(line) else 1
+    low = tokens if counts is None else tokens >> _U(24) | counts << _U(40)
+    packed = line.astype(np.uint64) << _U(64 - bits) | low >> _U(bits)
+    order = np.argsort(packed)
+    packed, sorted_ = packed[order], tokens[order]
+    if ((packed[1:] == packed[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+        return np.lexsort([tokens, line] if counts is None else [tokens, counts, line])
+    return order
+
+
 class Lines:
-    """The lines with a word of some documents, and their tokens sorted by line and key."""
+    """The lines of some documents, and the tokens of those with a word, by line and in one order.
 
-    def __init__(self, texts: K.Texts):
+    ``counts``: how often the counters have been seen; without, tokens are in the order of their keys.
+    """
+
+    def __init__(self, texts: K.Texts, tokens: bool = True, counts: np.ndarray | None = None):
         self.texts = texts
         words = K.words_of(texts)
-        values = K.word_values(texts, words)
         breaks = np.flatnonzero(texts.data == NEWLINE)
         # Lines begin at each document and after each line break; an empty document is before the next.
         begin = np.append(texts.offsets[:-1], breaks + 1)
@@ -51,14 +65,20 @@ class Lines:
         self.number = np.arange(len(begin)) - np.searchsorted(self.document, self.document)
         self.end = np.append(self.begin[1:], len(texts.data))
         first = np.append(np.searchsorted(words.starts, self.begin), len(words))
-        counts = np.diff(first)
+        size = np.diff(first)
+        self.filled = size > 0
+        if not tokens:
+            return
+        values = K.word_values(texts, words)
         every = K.grams(values, SHINGLE)
         inside = np.flatnonzero(K.within(first, SHINGLE, len(values)))
         line = np.searchsorted(first, inside, "right") - 1
-        short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
+        short = np.flatnonzero((size > 0) & (size < SHINGLE))
         keys = np.append(every[inside], K.stretches(values, first[short], first[short + 1]))
         line = np.append(line, short)
-        order = np.lexsort([keys, line])
+        back = np.argsort(line, kind="stable")
+        keys, line = keys[back], line[back]
+        order = _in_order(line, keys, None if counts is None else counts[_counter(keys)])
         keys, line = keys[order], line[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
@@ -79,20 +99,14 @@ def _counter(tokens: np.ndarray) -> np.ndarray:
     return (K.mix(tokens) % _U(COUNTERS)).astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for _, texts in K.chunks(batch):
-            counts += np.bincount(_counter(Lines(texts).tokens), minlength=COUNTERS)
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["counter", "n"])
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, whole, id, place): the first line of each token set."""
+    """(key, whole, id, place): the first line of each token set; at the end (counter, count, NULL, NULL)."""
+    names = ["key", "whole", "id", "place"]
+    counts = np.zeros(COUNTERS, np.int64)
     for batch in batches:
         for part, texts in K.chunks(batch):
             lines = Lines(texts)
+            counts += np.bincount(_counter(lines.tokens), minlength=COUNTERS)
             one, two = lines.names()
             some = np.flatnonzero(lines.size)
             own = np.asarray(part.column(0))[lines.document[some]]
@@ -103,17 +117,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(one[rows].view(np.int64)), pa.array(two[rows].view(np.int64)),
                     pa.array(own[kept]), pa.array(lines.number[rows].astype(np.int32)),
                 ],
-                ["key", "whole", "id", "place"],
+                names,
             )
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some), pa.array(counts[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int32())], names
+    )
 
 
-def _prefixes(counts: np.ndarray, percent: int):
+def _prefixes(table: np.ndarray, percent: int):
+    """A function for mapInArrow: (token, name, id, line, n, at) of the prefixes of all lines."""
+    counts = np.minimum(table, (1 << 23) - 1).astype(np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in K.chunks(batch):
-                lines = Lines(texts)
-                order = np.lexsort([lines.tokens, counts[_counter(lines.tokens)], lines.line])
-                tokens, line = lines.tokens[order], lines.line[order]
+                lines = Lines(texts, counts=counts)
+                tokens, line = lines.tokens, lines.line
                 place = np.arange(len(line)) - lines.edges[line]
                 size = lines.size[line]
                 kept = np.flatnonzero(place <= size - -(-size * percent // 100))
@@ -151,7 +171,7 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in K.unzipped(batch):
-            lines = Lines(texts)
+            lines = Lines(texts, tokens=False)
             begin = np.searchsorted(lines.document, np.arange(len(texts) + 1))
 
             def told(name: str) -> np.ndarray:
@@ -162,7 +182,7 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         on[begin[i] + np.array(places)] = True
                 return on
 
-            gone = (lines.size > 0) & (~told("first") | told("near"))
+            gone = lines.filled & (~told("first") | told("near"))
             removed = np.flatnonzero(gone)
             # A line goes with the break before it; the first that stays loses its break.
             keep = np.repeat(~gone, lines.end - lines.begin)
@@ -176,7 +196,7 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 offsets.append(offsets[-1] + len(body))
             by = np.searchsorted(removed, begin).astype(np.int32)
             numbers = pa.ListArray.from_arrays(pa.array(by), pa.array(lines.number[removed].astype(np.int32)))
-            has = np.append(0, np.cumsum(lines.size > 0))
+            has = np.append(0, np.cumsum(lines.filled))
             kept = pa.StringArray.from_buffers(
                 len(texts), pa.py_buffer(np.array(offsets, np.int32).tobytes()), pa.py_buffer(b"".join(data))
             )
@@ -199,11 +219,11 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     """(id, place) of lines that are the first of their set, but near-equal to an earlier line."""
-    rows = source.mapInArrow(
-        _prefixes(counts, percent), "token long, name long, id long, line int, n int, at int"
-    ).repartition("token")
-    live = rows.groupBy("token").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high")
-    shared = rows.join(live.select("token").hint("shuffle_hash"), "token", "left_semi")
+    rows = source.mapInArrow(_prefixes(counts, percent), "token long, name long, id long, line int, n int, at int")
+    # A token that only one set has in its prefix makes no candidate. Tasks send a set once per chunk of
+    # text, so the rows of a token are not its lines but its different sets.
+    same = Window.partitionBy("token")
+    shared = rows.withColumns({"low": F.min("name").over(same), "high": F.max("name").over(same)}).where("low <> high")
     order = F.struct("id", "line")
     live = materialize(
         shared.groupBy("token", "name").agg(F.min(order).alias("place"), F.min("n").alias("n"), F.min("at").alias("at")), "tokens"
@@ -258,12 +278,13 @@ def remove_lines(
         *boxed,
     )
     carried = f", rest {wide.schema['rest'].dataType.simpleString()}" if rest else ""
-    counted = source.mapInArrow(_count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    sets = materialize(source.mapInArrow(_sets, "key long, whole long, id long, place int"), "sets")
     counts = np.zeros(COUNTERS, np.int64)
-    for row in counted.collect():  # COUNTERS rows at most, whatever the size of the corpus
-        counts[row.counter] = row.n
+    # COUNTERS rows at most, whatever the size of the corpus.
+    for row in sets.where("id IS NULL").groupBy("key").agg(F.sum("whole").alias("n")).collect():
+        counts[row.key] = row.n
     near = materialize(_near(source, counts, percent), "near")
-    first = repeats._first(source.mapInArrow(_sets, "key long, whole long, id long, place int"))
+    first = repeats._first(sets.where("id IS NOT NULL"))
     packed = wide.mapInArrow(K.zipped, "id long, size long, body binary" + carried)
     state = repeats._by_document(packed, ("first", first), ("near", near))
     found = state.mapInArrow(
