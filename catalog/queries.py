@@ -710,7 +710,10 @@ def quantile_flags(keys, columns, source, low, high, name, width) -> str:
     return f"WITH q AS (SELECT {limits} FROM {source}) SELECT {keys}, {flags} FROM {source}, q"
 
 
-LINES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINES = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax",
+)
 
 
 @query(
@@ -824,25 +827,31 @@ def derive_cast(df):
 @query(
     "audit_columns", "customer",
     """SELECT c_custkey, 'job-7' AS etl_job_id, 'customers' AS etl_source_path,
-    md5(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)) AS etl_row_hash
+    md5(concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)) AS etl_row_hash
     FROM customer""",
 )
 def audit_columns(df):
-    audited = scrub.add_audit(df.drop("c_acctbal"), "job-7", "customers")
+    audited = scrub.add_audit(df, "job-7", "customers")
     return audited.select("c_custkey", "etl_job_id", "etl_source_path", "etl_row_hash")
 
 
-HASHED = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-
-
 @query(
     "audit_row_hash", "lineitem",
-    f"SELECT l_orderkey, l_linenumber, md5(concat_ws('|', {', '.join(HASHED)})) AS etl_row_hash "
-    "FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, md5(concat_ws('|', *COLUMNS(*))) AS etl_row_hash FROM lineitem",
 )
 def audit_row_hash(df):
-    value = scrub.functions.row_hash(df, HASHED)
-    return df.select("l_orderkey", "l_linenumber", value.alias("etl_row_hash"))
+    return scrub.add_audit(df).select("l_orderkey", "l_linenumber", "etl_row_hash")
+
+
+@query(
+    "audit_load_time", "customer",
+    "SELECT c_custkey, true AS is_set, 'timestamp' AS kind FROM customer",
+)
+def audit_load_time(df):
+    audited = scrub.add_audit(df)
+    kind = dict(audited.dtypes)["etl_load_timestamp"]
+    recent = F.col("etl_load_timestamp") > F.current_timestamp() - F.expr("interval 1 day")
+    return audited.select("c_custkey", recent.alias("is_set"), F.lit(kind).alias("kind"))
 
 
 # --- scores --------------------------------------------------------------------------------------
@@ -1039,3 +1048,86 @@ query(
         (SELECT count(*) FROM h) - (SELECT count(*) FROM r) AS validation_failures""",
     ),
 )(rounded_metrics(STRICT_ORDERS))
+
+
+# --- values that expressions, types and sinks must not lose --------------------------------------
+
+
+@query(
+    "rule_bad_cast", "dirty_orders",
+    "SELECT order_id, amount FROM <dirty_orders> WHERE NOT coalesce(TRY_CAST(amount AS DOUBLE) > 1000, false)",
+)
+def rule_bad_cast(df):
+    rule = Rule("amount", "cast(amount AS double) > 1000", Action.QUARANTINE)
+    return scrub.apply_rules(df, [rule]).clean.select("order_id", "amount")
+
+
+@query(
+    "derive_bad_division", "dirty_orders",
+    """SELECT order_id, CASE WHEN order_id % 4 = 0 THEN NULL ELSE 12.0 / (order_id % 4) END AS share,
+    TRY_CAST(priority AS INTEGER) AS number FROM <dirty_orders>""",
+)
+def derive_bad_division(df):
+    specs = [
+        DerivedColumn("share", "12 / (order_id % 4)"), DerivedColumn("number", "cast(priority AS int)"),
+    ]
+    return scrub.derive(df, specs).select("order_id", "share", "number")
+
+
+@query(
+    "infer_wide_numbers", "orders_text",
+    """SELECT id_txt, concat('1', lpad(id_txt, 19, '0'), '.0000000000') AS wide20,
+    concat('1', lpad(id_txt, 29, '0')) AS wide30, 'decimal' AS kind20, 'string' AS kind30 FROM <orders_text>""",
+)
+def infer_wide_numbers(df):
+    wide = df.select(
+        "id_txt", F.concat(F.lit("1"), F.lpad("id_txt", 19, "0")).alias("wide20"),
+        F.concat(F.lit("1"), F.lpad("id_txt", 29, "0")).alias("wide30"),
+    )
+    kinds = {r.column_name: r.inferred_type for r in scrub.infer_types(wide, ["id_txt"]).collect()}
+    mapping = {c: k for c, k in kinds.items() if k != "string"}
+    converted = scrub.convert_types(wide, mapping, infer=False)
+    return converted.select(
+        "id_txt", F.col("wide20").cast("string").alias("wide20"), "wide30",
+        F.lit(kinds["wide20"]).alias("kind20"), F.lit(kinds["wide30"]).alias("kind30"),
+    )
+
+
+def _spaced(df):
+    return df.select(
+        "order_id", F.concat(F.lit(" "), "priority", F.lit("  ")).alias("priority"), F.lit(None).cast("string").alias("nothing")
+    )
+
+
+SPACED_SQL = "SELECT order_id, ' ' || priority || '  ' AS priority, CAST(NULL AS VARCHAR) AS nothing FROM <dirty_orders>"
+
+
+@query("sink_default_csv", "dirty_orders", SPACED_SQL)
+def sink_default_csv(df):
+    path = scratch_path(df.sparkSession, "orders-default-csv")
+    scrub.write_table(_spaced(df), path, "csv")
+    return scrub.read_table(
+        df.sparkSession, path, "csv", _spaced(df).schema, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+@query("sink_default_json", "dirty_orders", SPACED_SQL)
+def sink_default_json(df):
+    path = scratch_path(df.sparkSession, "orders-default-json")
+    scrub.write_table(_spaced(df), path, "json")
+    return scrub.read_table(df.sparkSession, path, "json")
+
+
+@query(
+    "null_fill_now", "dirty_events",
+    "SELECT event_id, ts IS NULL AS filled, true AS is_set FROM <dirty_events>",
+)
+def null_fill_now(df):
+    filled = scrub.fill_nulls(df.withColumn("before", F.col("ts").isNull()), dates="current_timestamp")
+    return filled.select("event_id", F.col("before").alias("filled"), F.col("ts").isNotNull().alias("is_set"))
+
+
+@query("rule_quarantine_off", "dirty_orders", "SELECT order_id, amount FROM <dirty_orders>")
+def rule_quarantine_off(df):
+    rule = Rule("amount", "amount = 'abc'", Action.QUARANTINE)
+    return scrub.apply_rules(df, [rule], quarantine=False).clean.select("order_id", "amount")

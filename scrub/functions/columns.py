@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,3 +66,18 @@ def rows_from_one(df: DataFrame, rows: list[dict[str, Column]]) -> DataFrame:
     """Turn a one-row frame of aggregates into one output row per entry of ``rows``."""
     structs = [F.struct(*[v.alias(k) for k, v in row.items()]) for row in rows]
     return df.select(F.inline(F.array(*structs)))
+
+
+@contextmanager
+def lenient(df: DataFrame):
+    """Within, expressions given by users are analysed so that values they cannot take give NULL.
+
+    Spark fixes this when it analyses an expression, so a bad row does not end a later job.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.ansi.enabled")
+    conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        conf.set("spark.sql.ansi.enabled", before)

@@ -24,6 +24,9 @@ TIMESTAMP_FORMATS = (
 TRUE_WORDS = ("true", "t", "yes", "y", "1", "on")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "off")
 
+# Just under the largest long, so that a double cannot have been rounded across it.
+SURELY_LONG = 9.2e18
+
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 FRACTIONAL_NUMBER = r"^\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)\s*$"
 
@@ -148,9 +151,15 @@ def is_number(c: Column) -> Column:
 
 
 def is_whole_number(c: Column) -> Column:
-    """True for a number without a fractional part; ``1.0`` counts."""
+    """True for a number without a fractional part that a long surely holds; ``1.0`` counts."""
+    value = F.when(is_number(c), without_commas(c).try_cast("double"))
+    return F.coalesce((value == F.rint(value)) & (F.abs(value) < SURELY_LONG), F.lit(False))
+
+
+def fits_decimal(c: Column, precision: int, scale: int) -> Column:
+    """True for a number that decimal(precision, scale) holds without being cut to its limits."""
     value = F.when(is_number(c), without_commas(c).try_cast("double"))
-    return F.coalesce((value == F.rint(value)) & (F.abs(value) < float("inf")), F.lit(False))
+    return F.coalesce(F.abs(value) < float(f"1e{precision - scale}"), F.lit(False))
 
 
 def parse_integer(c: Column, kind: str) -> Column:

@@ -15,7 +15,7 @@ def trim_spaces(c: Column) -> Column:
 
 def collapse_whitespace(c: Column) -> Column:
     """Every run of white space becomes one space."""
-    return F.regexp_replace(c, r"\s+", " ")
+    return F.regexp_replace(c, r" \s+|[^\S ]\s*", " ")
 
 
 def title_case(c: Column) -> Column:
@@ -35,7 +35,7 @@ def title_case(c: Column) -> Column:
 
 def keep_alphanumeric(c: Column) -> Column:
     """Delete everything but ASCII letters, digits and white space."""
-    return F.regexp_replace(c, r"[^a-zA-Z0-9\s]", "")
+    return F.regexp_replace(c, r"[^a-zA-Z0-9\s]+", "")
 
 
 CASES = {"none": lambda c: c, "lower": F.lower, "upper": F.upper, "title": title_case}

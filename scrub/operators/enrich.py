@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import data_columns, ref
+from ..functions.columns import data_columns, lenient, ref
 from ..functions.hashing import row_hash
 
 
@@ -26,7 +26,8 @@ def derive(df: DataFrame, specs: Sequence[DerivedColumn]) -> DataFrame:
     """Add columns from Spark SQL expressions, in order; later ones may use earlier ones.
 
     One that names a dependency the table lacks, or does not fit the table, is left out;
-    ``derive_report`` says which and why.
+    ``derive_report`` says which and why. Values an expression cannot take (a bad cast, a division by
+    zero) give NULL.
     """
     return _derive(df, specs)[0]
 
@@ -37,6 +38,11 @@ def derive_report(df: DataFrame, specs: Sequence[DerivedColumn]) -> list[tuple[s
 
 
 def _derive(df: DataFrame, specs: Sequence[DerivedColumn]):
+    with lenient(df):
+        return _derived(df, specs)
+
+
+def _derived(df: DataFrame, specs: Sequence[DerivedColumn]):
     report = []
     for spec in specs:
         absent = [d for d in spec.dependencies if d not in df.columns]

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, ref, rows_from_one
 
-# Values, over all columns together, that built-in exact aggregates may take into one task.
-EXACT_VALUES = 5_000_000
+# Values left in a bracket that a built-in exact aggregate may take into one task.
+EXACT_VALUES = 1_000
 BRACKET_ACCURACY = 1_000
 # Up to this accuracy a digest is a few kilobytes and a single reducer merges those of all columns.
 SMALL_ACCURACY = 200
@@ -122,22 +122,17 @@ def _exact(
 ) -> dict[str, list[float] | None]:
     numbers = df.select(*[_value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
     sizes = numbers.agg(*[F.count(c).alias(c) for c in numbers.columns]).first()
-    small = [c for c in numbers.columns if sizes[c] <= exact_values // len(columns)]
-    answers: dict[str, list[float] | None] = {}
-    if small:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = numbers.agg(*[F.percentile(F.col(c), wanted).alias(c) for c in small]).first()
-        answers.update({c: row[c] for c in small})
+    answers: dict[str, list[float] | None] = {c: None for c in numbers.columns if not sizes[c]}
     searches: dict[tuple[str, float], _Search] = {}
     for c in numbers.columns:
-        for p in probabilities if c not in small else ():
+        for p in probabilities if sizes[c] else ():
             position = p * (sizes[c] - 1)
             places = {math.floor(position), math.ceil(position)}
             searches[c, p] = _Search(c, min(places), places, {}, inside=sizes[c])
     if searches:
-        _narrow(numbers, list(searches.values()), exact_values // len(searches))
+        _narrow(numbers, list(searches.values()), exact_values)
     for c in numbers.columns:
-        if c not in small:
+        if sizes[c]:
             answers[c] = [
                 _between(searches[c, p], p * (sizes[c] - 1)) for p in probabilities
             ]

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import ref, rows_from_one
+from ..functions.columns import lenient, ref, rows_from_one
 from ..functions.hashing import row_hash
 from .nulls import any_missing, drop_null_keys
 
@@ -198,8 +198,19 @@ def apply_rules(
     ``unknown="pass"``; quarantine only when it is true, so clean and quarantined rows together
     are the input. A rule is skipped when it is disabled, its column does not exist, it has no
     default to set, quarantine is off, or its expression does not fit the table; ``counts`` says
-    which. Rows with a missing value in ``null_keys`` are taken out before the first rule.
+    which. Values that an expression cannot take give NULL. Rows with a missing value in ``null_keys`` are taken out before the first rule.
     """
+    with lenient(df):
+        return _apply_rules(df, rules, quarantine, unknown, null_keys)
+
+
+def _apply_rules(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    quarantine: bool = True,
+    unknown: str = "drop",
+    null_keys: Sequence[str] = (),
+) -> RuleResult:
     if unknown not in ("drop", "pass"):
         raise ValueError(f"unknown must be drop or pass, not {unknown}")
     missing_key = any_missing(df, null_keys)

@@ -260,7 +260,7 @@ REPORT_SCHEMA = (
 
 SHARES_SCHEMA = (
     "column_name string, non_null_count long, boolean_share double, numeric_share double, "
-    "integer_share double, timestamp_share double, date_share double"
+    "integer_share double, decimal_share double, timestamp_share double, date_share double"
 )
 
 
@@ -269,6 +269,11 @@ def infer_shares(
     columns: Sequence[str] | None = None,
     options: ConvertOptions = ConvertOptions(),
 ) -> DataFrame:
+    """``_shares`` without what only inference needs."""
+    return _shares(df, columns, options).drop("decimal_share")
+
+
+def _shares(df: DataFrame, columns: Sequence[str] | None, options: ConvertOptions) -> DataFrame:
     """One row per text column: which share of its non-null values reads as which type.
 
     Looks at all values of all columns in one aggregate; nothing is sampled. The columns are
@@ -287,6 +292,7 @@ def infer_shares(
         "boolean_share": parse.boolean_word(c),
         "numeric_share": parse.is_number(c),
         "integer_share": parse.is_whole_number(c),
+        "decimal_share": parse.fits_decimal(c, options.precision, options.scale),
         "timestamp_share": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
         "date_share": parse.parse_date(c, options.date_formats).isNotNull(),
     }
@@ -320,12 +326,12 @@ def infer_types(
     suggested = (
         F.when(F.col("boolean_share") > BOOLEAN_SHARE, "boolean")
         .when(numeric & (F.col("integer_share") > INTEGER_SHARE), "long")
-        .when(numeric, "decimal")
+        .when(F.col("decimal_share") > NUMERIC_SHARE, "decimal")
         .when(F.col("timestamp_share") > TIMESTAMP_SHARE, "timestamp")
         .when(F.col("date_share") > DATE_SHARE, "date")
         .otherwise("string")
     )
-    return infer_shares(df, columns, options).select(
+    return _shares(df, columns, options).select(
         "column_name", suggested.alias("inferred_type")
     )
 

@@ -8,6 +8,7 @@ the dedup shuffle happen once although several outputs and the scores depend on
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -35,10 +36,8 @@ from ..operators.types import (
     plan_conversions,
 )
 from ..sources.readers import (
-    CACHE_BELOW_BYTES,
     read_table,
     repartition_by_rows,
-    sample_if_large,
     sized_shuffles,
     source_bytes,
 )
@@ -264,30 +263,40 @@ def run(
         df = read_table(spark, config.source, config.input_format, **csv)
         size = source_bytes(spark, config.source)
     with sized_shuffles(df.sparkSession, size):
-        return _run(df, config, size, mode)
+        return _run(df, config, mode)
 
 
-def _run(df: DataFrame, config: CleaningConfig, size: int, mode: str) -> Result:
+def _check_targets(spark: SparkSession, config: CleaningConfig, mode: str) -> None:
+    """Fail before anything is written when an output is there already and may not be replaced."""
+    if mode not in ("error", "errorifexists", "default"):
+        return
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for target in (config.target, config.quarantine_target, config.metrics_target):
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        if path.getFileSystem(conf).exists(path):
+            raise FileExistsError(f"{target} exists already")
+
+
+def _run(df: DataFrame, config: CleaningConfig, mode: str) -> Result:
+    """Quarantine and metrics are written first: where the target is there, all of the run is."""
+    _check_targets(df.sparkSession, config, mode)
+    if config.sampling:
+        warnings.warn("a run cleans all rows; draw a sample with sample_rows before it", stacklevel=3)
     cached = None
-    may_cache = config.cache_below and size < CACHE_BELOW_BYTES
-    if config.sampling or config.repartitions or may_cache:
-        records = df.count()
-        if config.sampling:
-            df = sample_if_large(df, config.sample_fraction, config.sample_seed, records=records)
-        if config.repartitions:
-            df = repartition_by_rows(df, records, *config.partition_bounds)
-        if may_cache and records < config.cache_below:
-            cached = df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if config.repartitions:
+        df = repartition_by_rows(df, df.count(), *config.partition_bounds)
+    if config.cache:
+        cached = df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result = plan(df, config, stage=materialize)
-        write_table(
-            result.clean, config.target, config.output_format, config.compression,
-            config.csv_separator, config.csv_quote, mode,
-        )
         if result.judged.moves_rows:
             write_quarantine(result.quarantine, config.quarantine_target, mode)
         if config.profiling:
             write_metrics(metrics_record(result, config), config.metrics_target, mode)
+        write_table(
+            result.clean, config.target, config.output_format, config.compression,
+            config.csv_separator, config.csv_quote, mode,
+        )
         return result
     finally:
         if cached is not None:

@@ -16,9 +16,6 @@ from ..operators.rules import NO_DEFAULT, Action, Rule, Severity
 from ..operators.schema import SchemaSpec
 from ..operators.types import ConvertOptions
 from ..sources.readers import (
-    CACHE_BELOW,
-    MAX_PARTITIONS,
-    MIN_PARTITIONS,
     ROWS_PER_PARTITION,
     check_format,
 )
@@ -101,7 +98,7 @@ class CleaningConfig:
     rows_per_partition: int | None = None
     min_partitions: int | None = None
     max_partitions: int | None = None
-    cache_below: int = CACHE_BELOW
+    cache: bool = False
     critical_columns: tuple[str, ...] = ()
     type_map: Mapping[str, str] = field(default_factory=dict)
     infer: bool = True
@@ -149,11 +146,11 @@ class CleaningConfig:
         return any((self.rows_per_partition, self.min_partitions, self.max_partitions))
 
     @property
-    def partition_bounds(self) -> tuple[int, int, int]:
+    def partition_bounds(self) -> tuple[int, int, int | None]:
         return (
             self.rows_per_partition or ROWS_PER_PARTITION,
-            self.min_partitions or MIN_PARTITIONS,
-            self.max_partitions or MAX_PARTITIONS,
+            self.min_partitions or 1,
+            self.max_partitions,
         )
 
     @property
@@ -281,11 +278,12 @@ def _schema(key: str, value: Any) -> SchemaSpec | None:
 _READERS = {
     **dict.fromkeys(
         ("csv_header", "csv_infer_schema", "csv_multiline", "schema_validation", "profiling",
-         "advanced_analytics", "quarantine", "infer", "trim", "collapse", "outliers", "sampling"),
+         "advanced_analytics", "quarantine", "infer", "trim", "collapse", "outliers", "sampling",
+         "cache"),
         _switch,
     ),
     **dict.fromkeys(
-        ("rows_per_partition", "min_partitions", "max_partitions", "cache_below", "precision",
+        ("rows_per_partition", "min_partitions", "max_partitions", "precision",
          "scale", "sample_seed"),
         _whole,
     ),

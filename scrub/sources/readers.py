@@ -10,17 +10,9 @@ from pyspark.sql import types as T
 
 FORMATS = ("csv", "json", "parquet")
 
-# Sizes at which a table is sampled, cached and cut into partitions.
-SAMPLE_ABOVE = 10_000_000
-CACHE_BELOW = 50_000_000
 ROWS_PER_PARTITION = 1_000_000
-MIN_PARTITIONS, MAX_PARTITIONS = 1, 200
-
-# A source of more bytes than this is not even counted to find out whether to cache it.
-CACHE_BELOW_BYTES = 64 * 2**30
-# Bytes of source per shuffle partition, and the most partitions a shuffle may have.
+# Bytes of source per shuffle partition.
 BYTES_PER_SHUFFLE_PARTITION = 512 * 2**20
-MAX_SHUFFLE_PARTITIONS = 20_000
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -70,36 +62,23 @@ def read_table(
     return reader.load(path)
 
 
-def sample_if_large(
-    df: DataFrame,
-    fraction: float = 0.1,
-    seed: int = 42,
-    threshold: int = SAMPLE_ABOVE,
-    records: int | None = None,
-) -> DataFrame:
-    """A seeded random share of the rows of a table of more than ``threshold`` rows.
+def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A seeded random share of the rows, whatever the size of the table."""
+    return df.sample(fraction=fraction, seed=seed)
 
-    Give ``records`` when the number of rows is known; else the table is counted.
-    """
-    size = df.count() if records is None else records
-    return df.sample(fraction=fraction, seed=seed) if size > threshold else df
 
-
-def partitions_for(
-    records: int,
-    rows: int = ROWS_PER_PARTITION,
-    lo: int = MIN_PARTITIONS,
-    hi: int = MAX_PARTITIONS,
-) -> int:
-    return min(max(records // rows, lo), hi)
+def partitions_for(records: int, rows: int = ROWS_PER_PARTITION, lo: int = 1, hi: int | None = None) -> int:
+    """Partitions of about ``rows`` rows, at least ``lo``; no upper bound unless one is given."""
+    wanted = max(records // rows, lo)
+    return wanted if hi is None else min(wanted, hi)
 
 
 def repartition_by_rows(
     df: DataFrame,
     records: int,
     rows: int = ROWS_PER_PARTITION,
-    lo: int = MIN_PARTITIONS,
-    hi: int = MAX_PARTITIONS,
+    lo: int = 1,
+    hi: int | None = None,
 ) -> DataFrame:
     """Spread ``records`` rows over partitions of about ``rows`` each. A full shuffle: cleaning runs
     do it only when asked to, and otherwise keep the scan's own partitions."""
@@ -117,7 +96,7 @@ def sized_shuffles(spark: SparkSession, size: int):
     """Within, shuffles have enough partitions for a source of ``size`` bytes; never fewer than the
     session asks for. Adaptive execution merges those that turn out small."""
     asked = spark.conf.get(SHUFFLE_PARTITIONS)
-    wanted = min(size // BYTES_PER_SHUFFLE_PARTITION, MAX_SHUFFLE_PARTITIONS)
+    wanted = size // BYTES_PER_SHUFFLE_PARTITION
     if wanted <= int(asked):
         yield
         return

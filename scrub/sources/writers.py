@@ -19,6 +19,8 @@ def write_table(
 ) -> None:
     """Write Parquet (with ``compression``), CSV (header, ``separator``, ``quote``) or JSON lines.
 
+    Outer spaces are kept in CSV, and columns that are all NULL in JSON.
+
     A format it does not know is an error, and so is a failed write.
     """
     fmt = check_format(fmt)
@@ -28,7 +30,10 @@ def write_table(
         # Empty text is a pair of quotes; Spark would write "" whatever the quote character is.
         options = {
             "header": True, "sep": separator, "quote": quote, "emptyValue": quote * 2,
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
         } | options
+    else:
+        options = {"ignoreNullFields": False} | options
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
@@ -48,4 +53,4 @@ def write_quarantine(df: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 def write_metrics(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write the one-row metrics record, as JSON."""
-    write_table(df, path, "json", mode=mode)
+    write_table(df, path, "json", mode=mode, ignoreNullFields=True)

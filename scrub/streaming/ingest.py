@@ -64,9 +64,10 @@ def clean_new_files(
 ) -> None:
     """Run the configured cleaning on new files; every batch writes its own ``batch=<id>`` folder.
 
-    Row-wise steps give the same rows as one run over all files. Inference, outlier limits,
-    duplicates and scores look at one batch only; map types by name and deduplicate the target
-    when that matters.
+    Row-wise steps give the same rows as one run over all files. Types must not depend on which rows
+    came first, so nothing is inferred: columns without a mapping stay as they are read. A mapping
+    that ``infer_mapping`` found over a full table may be given as the type map. Outlier limits,
+    duplicates and scores look at one batch only; deduplicate the target when that matters.
     """
     if not isinstance(config, CleaningConfig):
         config = CleaningConfig.from_dict(config)
@@ -75,6 +76,7 @@ def clean_new_files(
         folder = f"batch={batch_id}"
         batch_config = replace(
             config,
+            infer=False,
             target=f"{config.target}/{folder}",
             quarantine_path=f"{config.quarantine_target}/{folder}",
             metrics_path=f"{config.metrics_target}/{folder}",
