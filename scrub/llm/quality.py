@@ -161,7 +161,10 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     own = [F.col(f"`{c}`") for c in docs.columns]
     verdict = f"NOT ({_any(BASE)} OR {_any(RULES)})"
     boxed = docs.select(F.struct(*own).alias(prefix + "row"), F.col(text).alias("_text"))
-    return measured(boxed, "_text").where(verdict).select(prefix + "row.*")
+    # A filter that only reads measures would be moved below the projections that compute them, and
+    # take their expressions apart; it is not moved below a row number.
+    numbered = measured(boxed, "_text").select("*", F.monotonically_increasing_id().alias("_row"))
+    return numbered.where(f"_row >= 0 AND {verdict}").select(prefix + "row.*")
 
 
 #: The same measures and verdict for DuckDB.
