@@ -99,34 +99,42 @@ def _counter(tokens: np.ndarray) -> np.ndarray:
     return (K.mix(tokens) % _U(COUNTERS)).astype(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, whole, id, place): the first line of each token set; at the end (counter, count, NULL, NULL)."""
-    names = ["key", "whole", "id", "place"]
-    counts = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for part, texts in K.chunks(batch):
-            lines = Lines(texts)
-            counts += np.bincount(_counter(lines.tokens), minlength=COUNTERS)
-            one, two = lines.names()
-            some = np.flatnonzero(lines.size)
-            own = np.asarray(part.column(0))[lines.document[some]]
-            kept, _ = repeats._least([one[some], two[some]], own, lines.number[some])
-            rows = some[kept]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(one[rows].view(np.int64)), pa.array(two[rows].view(np.int64)),
-                    pa.array(own[kept]), pa.array(lines.number[rows].astype(np.int32)),
-                ],
-                names,
-            )
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some), pa.array(counts[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int32())], names
-    )
+def _sets(of: list[str]):
+    """A function for mapInArrow: (key, whole, document, place) of the first line of each token set.
+
+    At the end (counter, count, NULL ...).
+    """
+    names = ["key", "whole", *of, "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part, texts in K.chunks(batch):
+                lines = Lines(texts)
+                counts += np.bincount(_counter(lines.tokens), minlength=COUNTERS)
+                one, two = lines.names()
+                some = np.flatnonzero(lines.size)
+                own = [c[lines.document[some]] for c in repeats.owners(part)]
+                kept, _ = repeats.least([one[some], two[some]], own, lines.number[some])
+                rows = some[kept]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(one[rows].view(np.int64)), pa.array(two[rows].view(np.int64)),
+                        *[pa.array(c[kept]) for c in own], pa.array(lines.number[rows].astype(np.int32)),
+                    ],
+                    names,
+                )
+        some = np.flatnonzero(counts)
+        nothing = [pa.nulls(len(some), pa.int64()) for _ in of]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some), pa.array(counts[some]), *nothing, pa.nulls(len(some), pa.int32())], names
+        )
+
+    return run
 
 
 def _prefixes(table: np.ndarray, percent: int):
-    """A function for mapInArrow: (token, name, id, line, n, at) of the prefixes of all lines."""
+    """A function for mapInArrow: (token, name, document, line, n, at) of the prefixes of all lines."""
     counts = np.minimum(table, (1 << 23) - 1).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,16 +147,16 @@ def _prefixes(table: np.ndarray, percent: int):
                 kept = np.flatnonzero(place <= size - -(-size * percent // 100))
                 one, _ = lines.names()
                 token, line, name = tokens[kept], line[kept], one[line[kept]]
-                own = np.asarray(part.column(0))[lines.document[line]]
-                least, _ = repeats._least([token, name], own, lines.number[line])
+                own = [c[lines.document[line]] for c in repeats.owners(part)]
+                least, _ = repeats.least([token, name], own, lines.number[line])
                 line = line[least]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(token[least].view(np.int64)), pa.array(name[least].view(np.int64)), pa.array(own[least]),
-                        pa.array(lines.number[line].astype(np.int32)), pa.array(lines.size[line].astype(np.int32)),
+                        pa.array(token[least].view(np.int64)), pa.array(name[least].view(np.int64)),
+                        *[pa.array(c[least]) for c in own], pa.array(lines.number[line].astype(np.int32)), pa.array(lines.size[line].astype(np.int32)),
                         pa.array(place[kept][least].astype(np.int32)),
                     ],
-                    ["token", "name", "id", "line", "n", "at"],
+                    ["token", "name", *repeats.marks(part.schema.names), "line", "n", "at"],
                 )
 
     return run
@@ -179,7 +187,8 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 column = part.column(part.schema.get_field_index(name))
                 for i, places in enumerate(column.to_pylist()):
                     if places:
-                        on[begin[i] + np.array(places)] = True
+                        at = begin[i] + np.array(places)
+                        on[at[at < begin[i + 1]]] = True
                 return on
 
             gone = lines.filled & (~told("first") | told("near"))
@@ -218,13 +227,16 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(id, place) of lines that are the first of their set, but near-equal to an earlier line."""
-    rows = source.mapInArrow(_prefixes(counts, percent), "token long, name long, id long, line int, n int, at int")
+    """(document, place) of lines that are the first of their set, but near-equal to an earlier line."""
+    of = repeats.marks(source.columns)
+    rows = source.mapInArrow(
+        _prefixes(counts, percent), f"token long, name long, {repeats.typed(of)}, line int, n int, at int"
+    )
     # A token that only one set has in its prefix makes no candidate. Tasks send a set once per chunk of
     # text, so the rows of a token are not its lines but its different sets.
     same = Window.partitionBy("token")
     shared = rows.withColumns({"low": F.min("name").over(same), "high": F.max("name").over(same)}).where("low <> high")
-    order = F.struct("id", "line")
+    order = F.struct(*of, "line")
     live = materialize(
         shared.groupBy("token", "name").agg(F.min(order).alias("place"), F.min("n").alias("n"), F.min("at").alias("at")), "tokens"
     )
@@ -254,7 +266,7 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     late = _similar(left, sets, percent).select("name").distinct()
     gone = found.unionByName(late)
     places = live.groupBy("name").agg(F.min("place").alias("place"))
-    return places.join(gone, "name", "left_semi").select("place.id", F.col("place.line").alias("place"))
+    return places.join(gone, "name", "left_semi").select(*[f"place.{c}" for c in of], F.col("place.line").alias("place"))
 
 
 def remove_lines(
@@ -264,29 +276,27 @@ def remove_lines(
 
     A line is what line breaks separate. It is removed when its token set has a Jaccard similarity of
     ``percent`` or more with that of an earlier line (smaller key, or same key and earlier line), judged
-    on the input. Lines without a word stay. A NULL text is empty. Rows that share a key are one document
-    at the same places; a NULL key is the smallest. Other columns play no part; with ``carry`` the whole row
-    comes along as the struct ``row``, with the text replaced by what is kept.
+    on the input. Lines without a word stay. A NULL text is empty. Copies of a row are one document; other
+    texts of a key are documents of their own, in the order of their fingerprints. A NULL key is the smallest.
+    Other columns play no part; with ``carry`` the whole row comes along as the struct ``row``, with the text
+    replaced by what is kept.
     """
-    source = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(repeats.NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
     rest = [c for c in docs.columns if c != text] if carry else []
     boxed = [F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")] if rest else []
-    wide = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(repeats.NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-        *boxed,
-    )
+    wide = repeats.documents(docs, key, text, *boxed)
+    of = repeats.marks(wide.columns)
+    source = wide.select("id", "text", *of[1:])
     carried = f", rest {wide.schema['rest'].dataType.simpleString()}" if rest else ""
-    sets = materialize(source.mapInArrow(_sets, "key long, whole long, id long, place int"), "sets")
+    marked = "".join(f", {c} long" for c in of[1:])
+    sets = materialize(source.mapInArrow(_sets(of), f"key long, whole long, {repeats.typed(of)}, place int"), "sets")
     counts = np.zeros(COUNTERS, np.int64)
     # COUNTERS rows at most, whatever the size of the corpus.
     for row in sets.where("id IS NULL").groupBy("key").agg(F.sum("whole").alias("n")).collect():
         counts[row.key] = row.n
     near = materialize(_near(source, counts, percent), "near")
-    first = repeats._first(sets.where("id IS NOT NULL"))
-    packed = wide.mapInArrow(K.zipped, "id long, size long, body binary" + carried)
-    state = repeats._by_document(packed, ("first", first), ("near", near))
+    first = repeats.first_places(sets.where("id IS NOT NULL"))
+    packed = wide.mapInArrow(K.zipped, "id long, size long, body binary" + marked + carried)
+    state = repeats.by_document(packed, ("first", first), ("near", near))
     found = state.mapInArrow(
         _rebuild, "id long, n_lines long, n_removed long, removed array<int>, kept string" + carried
     )

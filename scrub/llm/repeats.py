@@ -22,8 +22,9 @@ Keys hold 64 bits where a chance meeting only costs a further look, and 128 bits
 remove text. Tasks find the same phrases again in each step from the text alone; the text is
 shuffled by document once and that exchange serves all steps.
 
-A document's id orders it. Rows that share an id are one document at the same places (so copies of a
-row get the same answer), and a NULL id counts as the smallest.
+A document's id orders it, and a NULL id counts as the smallest. A document is an id and a text: copies
+of a row are one document and get the same answer, and different texts of one id (above all of the
+NULL id) are documents of their own, in the order of 128-bit fingerprints of the texts (``MARKS``).
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 
 NULL_ID = -(1 << 63)
+#: Fingerprints of the text; tables have them if an id has several texts.
+MARKS = ("text1", "text2")
 #: Stands for the place of a key that a task has seen more than once.
 MANY = -1
 
@@ -82,9 +85,10 @@ class Scan:
         if column.null_count < len(column):
             lists = column.drop_null()
             rows = np.flatnonzero(np.asarray(column.is_valid()))
-            sizes = np.asarray(pc.list_value_length(lists))
-            places = self.first[np.repeat(rows, sizes)] + np.asarray(lists.flatten())
-            on[places[places < len(on)]] = True
+            rows = np.repeat(rows, np.asarray(pc.list_value_length(lists)))
+            places = np.asarray(lists.flatten())
+            own = places < self.first[rows + 1] - self.first[rows]
+            on[self.first[rows[own]] + places[own]] = True
         return on
 
     def stretch(self, a: np.ndarray, b: np.ndarray, base: int = 0) -> np.ndarray:
@@ -138,26 +142,35 @@ def _each(from_: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.repeat(from_ - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def _least(keys, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key the row of the smallest id and place, and how many rows have it."""
-    order = np.lexsort([places, ids, *keys])
+def marks(columns: list[str]) -> list[str]:
+    """The columns that tell documents apart, in the order of documents."""
+    return ["id", *[c for c in MARKS if c in columns]]
+
+
+def owners(part: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.asarray(part.column(part.schema.get_field_index(c))) for c in marks(part.schema.names)]
+
+
+def least(keys, own: list[np.ndarray], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the row of the first document and place, and how many rows have it."""
+    order = np.lexsort([places, *own[::-1], *keys])
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
     at = np.flatnonzero(new)
     return order[at], np.diff(np.append(at, len(order)))
 
 
-def _rows(names: list[str], keys: list[np.ndarray], scan: Scan, ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+def _rows(names: list[str], keys: list[np.ndarray], scan: Scan, part: pa.RecordBatch, places: np.ndarray) -> pa.RecordBatch:
     """A row for each key: the first place that has it."""
     document = scan.document(places)
-    own, local = ids[document], places - scan.first[document]
-    kept, count = _least(keys, own, local)
+    own, local = [c[document] for c in owners(part)], places - scan.first[document]
+    kept, count = least(keys, own, local)
     if len(keys) == 1:
         local = np.where(count > 1, MANY, local[kept])
     else:
         local = local[kept]
-    columns = [k[kept].view(np.int64) for k in keys] + [own[kept], local.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "id", "place"])
+    columns = [k[kept].view(np.int64) for k in keys] + [c[kept] for c in own] + [local.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, *marks(part.schema.names), "place"])
 
 
 def _emit(shape: Shape, step: int):
@@ -167,25 +180,24 @@ def _emit(shape: Shape, step: int):
         for batch in batches:
             for part, texts in (K.unzipped if step else K.chunks)(batch):
                 scan = Scan(shape, texts)
-                ids = np.asarray(part.column(0))
                 if step == 0:
                     key, _, places = scan.phrases()
-                    yield _rows(["key"], [key], scan, ids, places)
+                    yield _rows(["key"], [key], scan, part, places)
                 elif step == 1:
                     key, whole, places = scan.phrases()
                     seen = ~scan.flags(part, "alone0")[places]
-                    yield _rows(["key", "whole"], [key[seen], whole[seen]], scan, ids, places[seen])
+                    yield _rows(["key", "whole"], [key[seen], whole[seen]], scan, part, places[seen])
                 elif step == 2:
                     todo, _ = scan.open_phrases(part)
                     from_, to, core, core_end = scan.cells(todo)
                     key, whole = scan.stretch(core, core_end), scan.stretch(from_, to + shape.window, 1)
-                    yield _rows(["key", "whole"], [key, whole], scan, ids, from_)
+                    yield _rows(["key", "whole"], [key, whole], scan, part, from_)
                 else:
                     from_, to, _, _ = scan.open_spans(part, True)
                     places = _each(from_, to)
                     ends = places + shape.window
                     keys = [scan.stretch(places, ends), scan.stretch(places, ends, 1)]
-                    yield _rows(["key", "whole"], keys, scan, ids, places)
+                    yield _rows(["key", "whole"], keys, scan, part, places)
 
     return run
 
@@ -212,25 +224,47 @@ def covered(windows: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(marks)[:len(windows)] > 0
 
 
-def _first(rows: DataFrame) -> DataFrame:
-    """The first place of each (key, whole). Rows of one id have one place per key, so none tie."""
-    return rows.groupBy("key", "whole").agg(F.min("id").alias("id"), F.min_by("place", "id").alias("place"))
+def first_places(rows: DataFrame) -> DataFrame:
+    """The first place of each (key, whole). Rows of one document have one place per key, so none tie."""
+    of = marks(rows.columns)
+    if len(of) == 1:  # aggregates of numbers only are the cheaper ones
+        return rows.groupBy("key", "whole").agg(F.min("id").alias("id"), F.min_by("place", "id").alias("place"))
+    return rows.groupBy("key", "whole").agg(F.min(F.struct(*of, "place")).alias("at")).select("key", "whole", "at.*")
 
 
 def _alone(rows: DataFrame) -> DataFrame:
     """Places whose key nothing else has."""
-    sums = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min("place").alias("place"))
-    return sums.where(f"n = 1 AND place <> {MANY}")
+    columns = [F.min(c).alias(c) for c in [*marks(rows.columns), "place"]]
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *columns).where(f"n = 1 AND place <> {MANY}")
 
 
-def _by_document(docs: DataFrame, *told: tuple[str, DataFrame]) -> DataFrame:
+def by_document(docs: DataFrame, *told: tuple[str, DataFrame]) -> DataFrame:
     """``docs`` with the places told to each as list columns."""
+    of = marks(docs.columns)
     for name, rows in told:
-        lists = rows.select("id", "place").repartition("id").groupBy("id").agg(F.collect_list("place").alias(name))
-        docs = docs.join(lists.hint("shuffle_hash"), "id", "left")
+        lists = rows.select(*of, "place").repartition(*of).groupBy(*of).agg(F.collect_list("place").alias(name))
+        docs = docs.join(lists.hint("shuffle_hash"), of, "left").select(*docs.columns, name)
     return docs
 
 
+def documents(docs: DataFrame, key: str, text: str, *more) -> DataFrame:
+    """(id, text, ...), with ``MARKS`` after the text if any id has several texts."""
+    rows = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *more
+    )
+    found = [F.xxhash64("text").alias(MARKS[0]), F.xxhash64(F.lit(MARKS[1]), "text").alias(MARKS[1])]
+    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in MARKS]
+    several = " OR ".join(f"min_{c} <> max_{c}" for c in MARKS)
+    if rows.select("id", *found).groupBy("id").agg(*ends).where(several).isEmpty():
+        return rows
+    return rows.select("id", "text", *found, *rows.columns[2:])
+
+
+def typed(of: list[str]) -> str:
+    """The types of the columns that tell documents apart."""
+    return ", ".join(f"{c} long" for c in of)
+
+
 def own_key(docs: DataFrame, key: str):
     """The key as it was, from ``id``."""
     return F.when(F.col("id") != NULL_ID, F.col("id")).cast(docs.schema[key].dataType).alias(key)
@@ -241,20 +275,21 @@ def with_answers(docs: DataFrame, shape: Shape, key: str, text: str) -> DataFram
 
     All steps read the same columns, so the compressed texts have one exchange that they share.
     """
-    source = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
-    phrases = source.mapInArrow(_emit(shape, 0), "key long, id long, place int")
-    state = _by_document(source.mapInArrow(K.zipped, "id long, size long, body binary"), ("alone0", _alone(phrases)))
-    columns = ["id", "size", "body", "alone0"]
+    source = documents(docs, key, text)
+    of = marks(source.columns)
+    phrases = source.mapInArrow(_emit(shape, 0), f"key long, {typed(of)}, place int")
+    packed = source.mapInArrow(K.zipped, "id long, size long, body binary" + "".join(f", {c} long" for c in of[1:]))
+    state = by_document(packed, ("alone0", _alone(phrases)))
+    columns = ["id", "size", "body", *of[1:], "alone0"]
 
     def next_step(step: int, alone: bool) -> None:
         nonlocal state
-        first = _first(state.select(*columns).mapInArrow(_emit(shape, step), "key long, whole long, id long, place int"))
+        rows = state.select(*columns).mapInArrow(_emit(shape, step), f"key long, whole long, {typed(of)}, place int")
+        first = first_places(rows)
         told = [(f"first{step}", first)]
         if alone:
             told.append((f"alone{step}", _alone(first)))
-        state = _by_document(state, *told)
+        state = by_document(state, *told)
         columns.extend(name for name, _ in told)
 
     next_step(1, True)

@@ -87,8 +87,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text:
 
     A word is removed when one of the ``window``-word passages over it also starts earlier (smaller
     key, or same key and earlier start), judged on the input. ``kept`` joins the other words by one
-    blank. A NULL or empty text has no words; texts under ``window`` words lose none. Rows that share
-    a key are one document; a NULL key is the smallest. Other columns play no part.
+    blank. A NULL or empty text has no words; texts under ``window`` words lose none. Copies of a row are
+    one document; other texts of a key are documents of their own, in the order of their fingerprints. A
+    NULL key is the smallest. Other columns play no part.
     """
     shape = repeats.Shape("word", window, min(GRAM, window))
     state = repeats.with_answers(docs, shape, key, text)

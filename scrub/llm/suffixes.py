@@ -71,8 +71,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, key: str = "doc_id
     A byte of the UTF-8 text is removed when one of the ``length``-byte strings over it also starts
     earlier (smaller key, or same key and earlier start), judged on the input; strings never cross
     documents, and may begin or end inside a character, so ``kept`` is binary. A NULL or empty text
-    has no bytes. Rows that share a key are one document; a NULL key is the smallest. Other columns
-    play no part.
+    has no bytes. Copies of a row are one document; other texts of a key are documents of their own, in
+    the order of their fingerprints. A NULL key is the smallest. Other columns play no part.
     """
     first = min(FIRST_LENGTH, max(1, length - TOGETHER + 1))
     shape = repeats.Shape("byte", length, first, min(TOGETHER, length - first + 1))

@@ -1,5 +1,6 @@
 """The numbered operators against plain versions, their SQL, and awkward tables."""
 
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -115,6 +116,42 @@ def test_passages_of_few_different_words(spark, seed):
     assert found(mine, *columns) == brute.repeated_bytes(rows, 30)
 
 
+def shared_keys():
+    """Rows of NULL and repeated keys with different texts of different lengths, and their neighbours."""
+    a, b, c = prose(21, 150), prose(22, 60), prose(23, 45)
+    lines = lambda w: "\n".join(" ".join(w[i:i + 15]) for i in range(0, len(w), 15))
+    rows = [(None, lines(a)), (None, lines(b)), (None, lines(b)), (5, lines(a[:45] + c)), (5, lines(c[:30])), (6, lines(prose(24, 90)))]
+    return [*rows, (7, lines(b[:30] + prose(25, 30))), (8, lines(prose(26, 15))), (9, lines(c + prose(27, 75)))]
+
+
+def orders(rows):
+    """All ways to number the different documents so that keys stay in order."""
+    by = defaultdict(list)
+    for key, text in brute.in_order(rows):
+        by[key].append((key, text))
+    for chosen in itertools.product(*(itertools.permutations(x) for x in by.values())):
+        yield {row: at for at, row in enumerate(itertools.chain(*chosen))}
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_texts_of_one_key_are_documents_of_their_own(spark, parts):
+    rows = shared_keys()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(parts)
+    sha = F.sha2("kept", 256)
+    for plain, mine in (
+        (brute.repeated_words, substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", sha)),
+        (brute.repeated_bytes, suffixes.remove_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans"), sha)),
+        (brute.line_sets, lines.remove_lines(docs).select("doc_id", "n_lines", "n_removed", "kept")),
+        (brute.line_sets, lines.remove_lines(docs, carry=True).select("row.doc_id", "n_lines", "n_removed", "row.text")),
+    ):
+        got = sorted(map(tuple, mine.collect()), key=repr)
+        expected = []
+        for named in orders(rows):
+            by = plain([(named[r], r[1]) for r in rows])
+            expected.append(sorted(((r[0], *by[named[r]]) for r in rows), key=repr))
+        assert got in expected
+
+
 # --- 2: near duplicates ---------------------------------------------------------------------------
 
 
