@@ -10,6 +10,8 @@ walked at once, each as far as the largest register: later points cannot change
 
 Registers are banded. A band that two texts share makes them candidates; candidates are verified on the
 whole multisets. Equal multisets are put together before anything else, so copies cost one row each.
+Multisets have numbers of their own, and only those are compared; a key may have several, and which keys
+their links connect is worked out at the end.
 """
 
 from __future__ import annotations
@@ -89,6 +91,11 @@ def _sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return sums[edges[1:]] - sums[edges[:-1]]
 
 
+def _names(leaves: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of the multiset of each text."""
+    return _sums(K.mix(leaves), edges), _sums(K.mix(leaves ^ _U(K.BASES[0])), edges)
+
+
 def _signatures(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,11 +103,11 @@ def _signatures(bands: int, rows: int):
                 leaves, document, edges = bags(texts)
                 times = bag_min_hash(leaves, document, len(texts), bands * rows)
                 keys = band_keys(times, bands, rows).view(np.int64)
+                one, two = _names(leaves, edges)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array(np.diff(edges)),
-                        pa.array(_sums(K.mix(leaves), edges).view(np.int64)),
-                        pa.array(_sums(K.mix(leaves ^ _U(K.BASES[0])), edges).view(np.int64)),
+                        pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(texts) + 1, dtype=np.int32) * bands), pa.array(keys.ravel())
                         ),
@@ -111,6 +118,21 @@ def _signatures(bands: int, rows: int):
     return run
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (rep, bag1, bag2, text): of equal multisets of an id, one of those in a slice."""
+    for batch in batches:
+        for part, texts in K.chunks(batch):
+            leaves, _, edges = bags(texts)
+            one, two = _names(leaves, edges)
+            ids = np.asarray(part.column(0))
+            order = np.lexsort([two, one, ids])
+            new = np.ones(len(order), bool)
+            new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in (ids, one, two)])
+            kept = pa.array(order[new])
+            columns = [part.column(0), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), part.column(1)]
+            yield pa.RecordBatch.from_arrays([c.take(kept) for c in columns], ["rep", "bag1", "bag2", "text"])
+
+
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) to (leaf, id, seen): each key of a bag once, and how often it was seen (1 or 2 for more)."""
     for batch in batches:
@@ -161,6 +183,20 @@ def alike(sizes: DataFrame, percent: int) -> DataFrame:
     return sizes.where(f"both * 100 >= {percent} * either").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
 
 
+def _texts(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, text): one text for each of ``nodes``, whose ``rep`` holds it."""
+    reps = nodes.select("rep").distinct()
+    few = nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if few:
+        bodies = bodies.join(F.broadcast(reps), bodies.id == reps.rep, "left_semi")
+    named = bodies.mapInArrow(_named, "rep long, bag1 long, bag2 long, text string")
+    held = named.join(F.broadcast(nodes) if few else nodes, ["rep", "bag1", "bag2"]).select("id", "text", "copies")
+    held = materialize(held, "suspects")
+    # A multiset that only one row has needs no further look.
+    copied = held.where("copies > 1").groupBy("id").agg(F.min("text").alias("text"))
+    return held.where("copies = 1").select("id", "text").unionByName(materialize(copied, "copied"))
+
+
 def _own(texts: DataFrame) -> DataFrame:
     """(id, own): how many of its shingles no other of the texts has."""
     seen = texts.select("id", "text").mapInArrow(_shingles, "leaf long, id long, seen long")
@@ -248,18 +284,19 @@ def classes(
     some = signed.where("n > 0")
     distinct = materialize(
         some.groupBy("bag1", "bag2").agg(
-            F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
-        ), "bags",
+            F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"),
+            F.any_value("bands").alias("bands"),
+        ).withColumn("id", F.monotonically_increasing_id()), "bags",
     )
     copies = some.join(distinct.select("bag1", "bag2", "rep"), ["bag1", "bag2"]).where("id <> rep").select(
         F.col("id").alias("a"), F.col("rep").alias("b")
     )
-    exploded = distinct.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "key"))
+    exploded = distinct.select("id", "n", F.posexplode("bands").alias("band", "key"))
     shared = exploded.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     members = materialize(exploded.join(shared.select("band", "key"), ["band", "key"]), "buckets")
-    ids = members.select("id").distinct()
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = materialize(bodies.join(F.broadcast(ids) if few else ids, "id", "left_semi"), "suspects")
+    nodes = distinct.join(members.select("id").distinct(), "id", "left_semi").select("id", "rep", "bag1", "bag2", "copies")
+    nodes = materialize(nodes, "nodes")
+    texts = _texts(bodies, nodes)
     own = members.join(_own(texts), "id", "left").select(
         "band", "key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"), F.col("id").alias("component")
     )
@@ -287,7 +324,8 @@ def classes(
                     "band", "key", "id", "n", "own", "hub", F.coalesce(found.component, members.component).alias("component")
                 ), "buckets",
             )
-    near = members.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    left, right = nodes.select("id", F.col("rep").alias("a")), nodes.select(F.col("id").alias("component"), F.col("rep").alias("b"))
+    near = members.where("id <> component").select("id", "component").distinct().join(left, "id").join(right, "component").select("a", "b")
     found = components(near.unionByName(copies))
     return signed.select("id").distinct().join(found, F.col("id") == F.col("node"), "left").select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias(key),

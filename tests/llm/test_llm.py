@@ -176,6 +176,22 @@ def test_near_duplicates_of_a_large_group(spark):
     assert found(neardup.classes(docs), "doc_id", "class_id") == {k: (v,) for k, v in brute.near_classes(rows).items()}
 
 
+def test_near_duplicates_of_keys_with_several_texts(spark):
+    """What one text of a key holds alone must not hide the links of its other texts."""
+    base, other, third = prose(31, 300), prose(32, 200), prose(33, 250)
+    alone = [f"w{i}" for i in range(10_000)]
+    rows = [(7, base), (None, edited(base, 100, 5)), (None, alone), (None, prose(34, 80)), (3, other), (3, third), (3, third)]
+    rows += [(3, prose(35, 9_000)), (4, edited(other, 90, 2)), (5, edited(third, 80, 3)), (6, prose(36, 100)), (6, third), (9, prose(37, 50))]
+    rows = [(k, " ".join(w)) for k, w in rows]
+    expected = brute.near_classes(rows)
+    assert expected == {7: None, None: None, 3: 3, 4: 3, 5: 3, 6: 3, 9: 9}
+    for limit in (neardup.BROADCAST_ROWS, 0):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(neardup, "BROADCAST_ROWS", limit)
+            assert found(neardup.classes(docs), "doc_id", "class_id") == {k: (v,) for k, v in expected.items()}
+
+
 def test_registers_estimate_weighted_jaccard():
     import numpy as np
 
