@@ -1,11 +1,8 @@
-"""Exact removal of repeated word passages by relative Lempel-Ziv parsing.
-
-The corpus is its own reference. Its phrases (neighbouring windows around one anchor) are indexed in
-blocks, which are the hash partitions of one Spark shuffle, so a document is parsed against every
-block at once. Parsing is greedy: neighbouring phrases that the index knows from an earlier place
-join into one factor, as long as they last. At both ends of a factor, where a phrase agrees with the
-reference only in part, the windows that cross the boundary are looked up one by one. A factor of
-at least ``window`` words is a duplicate span.
+"""Exact removal of repeated word passages by windows grouped around anchors.
+
+Windows are grouped and compared by fingerprint in rounds (``repeats``). This is not relative
+Lempel-Ziv parsing: no document is factored against a reference, and ``factors`` only names the
+runs of words that the finished mask removes.
 """
 
 from __future__ import annotations
