@@ -124,3 +124,88 @@ def contaminated(rows, items, percent=80):
         (d, i, len(s & t), len(t)) for i, t in asked.items() for d, s in held.items()
         if t and len(s & t) * 100 >= percent * len(t)
     }
+
+
+def vocabulary(rows, every=199, min_length=6, min_count=5):
+    """word: occurrences, of runs of letters of which some lose one."""
+    seen = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            seen[run] += 1
+    return {w: n for w, n in seen.items() if len(w) >= min_length and n >= min_count}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(n_of, ratio=5):
+    """word: (form, root, n, n_near, form_n)."""
+    holders = defaultdict(set)
+    for w in n_of:
+        for i in range(len(w) + 1):
+            holders[w[:i] + "\0" + w[i + 1:]].add(w)
+            holders[w[:i] + "\0" + w[i:]].add(w)
+    near = {w: {o for i in range(len(w) + 1) for k in (w[:i] + "\0" + w[i + 1:], w[:i] + "\0" + w[i:]) for o in holders[k] if one_edit(w, o)} for w in n_of}
+    form = {}
+    for w, n in n_of.items():
+        best = min(near[w], key=lambda o: (-n_of[o], o), default=None)
+        form[w] = best if best is not None and n_of[best] >= ratio * n else None
+    out = {}
+    for w, n in n_of.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n, len(near[w]), n_of[form[w]] if form[w] else None)
+    return out
+
+
+def periodic(key, text):
+    """The words of a document, of which some repeat a passage to the end."""
+    w = words(text)
+    h = zlib.crc32(str(key).encode()) if key is not None else 1
+    g, n = h // 10, len(w)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    return w
+
+
+def runs(w, min_words=24, repeats=3):
+    """(start, length, period) of all maximal runs, lag by lag."""
+    found, n = [], len(w)
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j - i + q >= max(min_words, repeats * q):
+                part = w[i:j + q]
+                if not any(part[d:] == part[:-d] for d in range(1, q)):
+                    found.append((i, j - i + q, q))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def run_digests(key, text):
+    w = periodic(key, text)
+    found = runs(w)
+    gone = set()
+    for start, length, q in found:
+        gone.update(range(start + q, start + length))
+    best = None
+    for r in found:
+        if best is None or r[1] * best[2] > best[1] * r[2]:
+            best = r
+    told = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (len(found), *told, sha("".join(f"{a},{b},{c}\n" for a, b, c in found)), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
