@@ -31,7 +31,7 @@ from . import kernels as K
 from .charmap import SPACE_MARK, CharacterMap, Normalizer, gather
 
 #: Different words that a task remembers at most, and their bytes. Beyond this it forgets all and starts anew.
-REMEMBERED, REMEMBERED_BYTES = 500_000, 64 << 20
+REMEMBERED, REMEMBERED_BYTES = 250_000, 32 << 20
 #: Words that the library gets in one call.
 AT_ONCE = 4_000
 #: Ids that are decoded together.
@@ -233,12 +233,12 @@ def _encoding(path: str):
 
 
 def _decoding(path: str):
-    """A function for mapInArrow: (..., ids) with the text of the ids behind."""
+    """A function for mapInArrow: (..., ids, ...) with the text of the ids behind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
+            ids = batch.column(batch.schema.get_field_index("ids"))
             offsets = np.append(0, np.cumsum(ids.value_lengths())).tolist()
             flat = ids.flatten().to_numpy()
             texts = [own.decode(flat[a:b]) for a, b in zip(offsets, offsets[1:])]
@@ -247,9 +247,11 @@ def _decoding(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes long, and of all its pieces ids, begins, ends (array<int>).
 
+    With ``decoded`` also the text that the ids decode to, by the same worker.
+
     Piece i stands for the bytes ``begins[i]`` to ``ends[i]`` of the text in UTF-8. Spans follow each other without a
     gap, but for what normalisation takes away; the bytes of a character without a piece share its span, which the
     last of them holds; the space mark put before a text has an empty one. A NULL text is empty and has no pieces.
@@ -257,10 +259,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     gives none. A very long text is looked at in stretches, and its row holds 12 bytes a piece.
     """
     kind = docs.schema[key].dataType.simpleString()
-    found = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        _encoding(path), f"key {kind}, n_bytes long, ids array<int>, begins array<int>, ends array<int>"
-    )
-    return found.select(F.col("key").alias(key), "n_bytes", "ids", "begins", "ends")
+    schema = f"key {kind}, n_bytes long, ids array<int>, begins array<int>, ends array<int>"
+    wanted = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    if decoded:
+        found = wanted.mapInArrow(lambda batches: _decoding(path)(_encoding(path)(batches)), f"{schema}, decoded string")
+    else:
+        found = wanted.mapInArrow(_encoding(path), schema)
+    return found.select(F.col("key").alias(key), *found.columns[1:])
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -105,12 +105,11 @@ def op3_language_id(spark, sf_dir):
 
 @query("op11_piece_encoding")
 def op11_piece_encoding(spark, sf_dir):
-    encoded = pieces.encode(read(spark, sf_dir), piece_bpe())
+    found = pieces.encode(read(spark, sf_dir), piece_bpe(), decoded=True)
     spanned = F.aggregate(F.zip_with("begins", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda n, x: n + x)
-    found = pieces.decode(encoded.select("doc_id", "n_bytes", "ids", spanned.alias("n_spanned")), piece_bpe())
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), pieces.digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes", "n_spanned",
+        F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes", spanned.alias("n_spanned"),
     )
 
 
