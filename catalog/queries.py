@@ -10,7 +10,7 @@ from scrub import Action, CleaningConfig, ConvertOptions, DerivedColumn, Rule, S
 from scrub.functions.parse import DATE_FORMATS
 from scrub.sources import LOSSLESS_CSV, scratch_path
 
-from .registry import query
+from .registry import ORACLES, query  # noqa: F401
 
 TEXT_COLUMNS = ("order_id", "customer_id", "priority", "amount", "order_date", "is_active")
 ORDER_DATES = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyyMMdd")
@@ -738,15 +738,17 @@ def outlier_quantile(df):
     )
 
 
+EVENT_NUMBERS = ("event_id", "user_id", "value")
+
+
 @query(
     "outlier_zscore", "events",
-    """WITH s AS (SELECT avg(value) AS m, stddev_samp(value) AS d FROM events)
-    SELECT event_id, value, abs((value - m) / d) > 2.5 AS value_outlier_zscore FROM events, s""",
+    "WITH s AS (SELECT " + ", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_d" for c in EVENT_NUMBERS)
+    + " FROM events) SELECT event_id, user_id, event_type, value, props, "
+    + ", ".join(f"abs(({c} - {c}_m) / {c}_d) > 2.5 AS {c}_outlier_zscore" for c in EVENT_NUMBERS) + " FROM events, s",
 )
 def outlier_zscore(df):
-    return scrub.flag_outliers(df, "zscore", threshold=2.5, columns=["value"]).select(
-        "event_id", "value", "value_outlier_zscore"
-    )
+    return scrub.flag_outliers(df, "zscore", threshold=2.5).drop("ts")
 
 
 # --- duplicates ----------------------------------------------------------------------------------

@@ -4,9 +4,12 @@ from .operators import *  # noqa: F401,F403
 from .operators import __all__ as _operators
 from .plans import CleaningConfig, Result, plan, run
 from .sources import materialize, read_table, write_metrics, write_quarantine, write_table
-from .streaming import clean_new_files, ingest_new
+from .streaming import (
+    Incremental, TypesChanged, clean_incrementally, clean_new_files, dedup_stream, ingest_new, latest_rows,
+)
 
 __all__ = [
-    *_operators, "CleaningConfig", "Result", "clean_new_files", "ingest_new", "materialize",
-    "plan", "read_table", "run", "write_metrics", "write_quarantine", "write_table",
+    *_operators, "CleaningConfig", "Incremental", "Result", "TypesChanged", "clean_incrementally",
+    "clean_new_files", "dedup_stream", "ingest_new", "latest_rows", "materialize", "plan", "read_table", "run",
+    "write_metrics", "write_quarantine", "write_table",
 ]

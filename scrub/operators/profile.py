@@ -98,7 +98,7 @@ def profile(
     counted in ``nan_count``.
     """
     fields = df.schema.fields
-    kinds = [_kind(f.dataType) for f in fields]
+    kinds = [kind_of(f.dataType) for f in fields]
     # Every part has at most one row per column of the profiled table.
     parts = [
         _statistics(df, kinds),
@@ -108,6 +108,13 @@ def profile(
     ]
     listed = df.sparkSession.range(len(kinds)).selectExpr("CAST(id AS INT) AS ordinal")
     joined = reduce(lambda a, b: a.join(b, "ordinal", "left"), parts, listed)
+    return present(joined, df.schema)
+
+
+def present(joined: DataFrame, schema: T.StructType) -> DataFrame:
+    """A profile from what was measured by ordinal of the columns."""
+    fields = schema.fields
+    kinds = [kind_of(f.dataType) for f in fields]
     # The columns of an empty table have no counts to join.
     joined = joined.fillna(0, COUNTS)
     place = F.col("ordinal") + 1
@@ -134,7 +141,7 @@ def _share(part: str) -> Column:
     return F.when(total > 0, F.col(part) / total * 100).otherwise(F.lit(0.0))
 
 
-def _kind(kind: T.DataType) -> str:
+def kind_of(kind: T.DataType) -> str:
     for name, types in (
         ("text", T.StringType), ("decimal", T.DecimalType), ("float", T.FloatType),
         ("double", T.DoubleType), ("whole", T.NumericType), ("time", TEMPORAL),
@@ -155,7 +162,7 @@ def _cell(**values: Column) -> tuple[Column, Column, Column]:
     return tuple(values[k] if k in values else F.lit(None).cast(k) for k in KEY_KINDS)
 
 
-def _measured(c: Column, kind: str) -> tuple[Column, Column, Column]:
+def cell_of(c: Column, kind: str) -> tuple[Column, Column, Column]:
     """What the statistics of a column look at; a column of no particular kind is only counted."""
     if kind == "text":
         return _cell(string=c)
@@ -170,7 +177,7 @@ def _measured(c: Column, kind: str) -> tuple[Column, Column, Column]:
 
 def _statistics(df: DataFrame, kinds: list[str]) -> DataFrame:
     """Counts and moments by ordinal. One aggregate of a few expressions, however wide the table."""
-    pairs = _unfold(df, [_measured(ref(c), k) for c, k in zip(df.columns, kinds)])
+    pairs = _unfold(df, [cell_of(ref(c), k) for c, k in zip(df.columns, kinds)])
     pairs = pairs.withColumn("v", F.nanvl("double", F.lit(None).cast("double")))
     aggregates = {
         "total_records": "count(1)",
@@ -232,7 +239,7 @@ def _quartiles(
     )
 
 
-def _distinct_key(c: Column, kind: T.DataType) -> tuple[str, Column]:
+def distinct_key(c: Column, kind: T.DataType) -> tuple[str, Column]:
     """One of the key kinds, and a key of that kind that is equal only for equal values.
 
     Long texts shrink to a hash, so the shuffle carries short keys however long the texts are.
@@ -263,7 +270,7 @@ def distinct_counts(df: DataFrame) -> DataFrame:
     repeated values collapse before the shuffle, so a value that fills a third of a column costs
     one pair per task.
     """
-    keys = [_distinct_key(ref(f.name), f.dataType) for f in df.schema.fields]
+    keys = [distinct_key(ref(f.name), f.dataType) for f in df.schema.fields]
     pairs = _unfold(df, [_cell(**{kind: key}) for kind, key in keys])
     return pairs.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("unique_count"))
 
@@ -274,7 +281,7 @@ def approx_distinct_counts(df: DataFrame) -> DataFrame:
     counts, rows = [], []
     for i, field in enumerate(df.schema.fields):
         c = ref(field.name)
-        estimate = F.approx_count_distinct(_distinct_key(c, field.dataType)[1])
+        estimate = F.approx_count_distinct(distinct_key(c, field.dataType)[1])
         counts.append((estimate + F.max(c.isNull().cast("long"))).alias(f"u{i}"))
         rows.append({"ordinal": F.lit(i), "unique_count": F.coalesce(f"u{i}", F.lit(0))})
     return rows_from_one(df.agg(*counts), rows)

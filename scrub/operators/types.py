@@ -258,9 +258,9 @@ REPORT_SCHEMA = (
     "before_count long, after_count long, success_rate double, low_success boolean, error string"
 )
 
-SHARES_SCHEMA = (
-    "column_name string, non_null_count long, boolean_share double, numeric_share double, "
-    "integer_share double, decimal_share double, timestamp_share double, date_share double"
+COUNTS_SCHEMA = (
+    "column_name string, non_null_count long, boolean_count long, numeric_count long, "
+    "integer_count long, decimal_count long, timestamp_count long, date_count long"
 )
 
 
@@ -270,43 +270,64 @@ def infer_shares(
     options: ConvertOptions = ConvertOptions(),
 ) -> DataFrame:
     """``_shares`` without what only inference needs."""
-    return _shares(df, columns, options).drop("decimal_share")
+    return _shares(type_counts(df, columns, options)).drop("decimal_share")
 
 
-def _shares(df: DataFrame, columns: Sequence[str] | None, options: ConvertOptions) -> DataFrame:
-    """One row per text column: which share of its non-null values reads as which type.
+PROBES = ("boolean", "numeric", "integer", "decimal", "timestamp", "date")
+
+
+def type_counts(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    options: ConvertOptions = ConvertOptions(),
+) -> DataFrame:
+    """One row per text column: how many of its non-null values read as which type.
 
     Looks at all values of all columns in one aggregate; nothing is sampled. The columns are
     unfolded into (column, value) pairs, so the probes are one piece of code however wide the
-    table is.
+    table is. Counts of parts of a table add up (``add_type_counts``).
     """
     text_columns = columns_of_type(df, T.StringType)
     wanted = text_columns if columns is None else [c for c in text_columns if c in columns]
     spark = df.sparkSession
     if not wanted:
-        return spark.createDataFrame([], SHARES_SCHEMA)
+        return spark.createDataFrame([], COUNTS_SCHEMA)
     cells = [x for i, name in enumerate(wanted) for x in (F.lit(i), ref(name))]
     pairs = df.select(F.stack(F.lit(len(wanted)), *cells).alias("place", "value"))
     c = F.col("value")
     probes = {
-        "boolean_share": parse.boolean_word(c),
-        "numeric_share": parse.is_number(c),
-        "integer_share": parse.is_whole_number(c),
-        "decimal_share": parse.fits_decimal(c, options.precision, options.scale),
-        "timestamp_share": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
-        "date_share": parse.parse_date(c, options.date_formats).isNotNull(),
+        "boolean": parse.boolean_word(c),
+        "numeric": parse.is_number(c),
+        "integer": parse.is_whole_number(c),
+        "decimal": parse.fits_decimal(c, options.precision, options.scale),
+        "timestamp": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
+        "date": parse.parse_date(c, options.date_formats).isNotNull(),
     }
     counted = pairs.groupBy("place").agg(
-        F.count(c).alias("n"), *[F.count_if(probe).alias(key) for key, probe in probes.items()]
+        F.count(c).alias("n"), *[F.count_if(probes[key]).alias(key) for key in PROBES]
     )
     # The columns of an empty table have no pairs, but are listed all the same.
     listed = spark.range(len(wanted)).select(F.col("id").cast("int").alias("place"))
     name = F.element_at(F.lit(wanted), F.col("place") + 1)
-    size = F.coalesce("n", F.lit(0))
     return listed.join(counted, "place", "left").select(
         name.alias("column_name"),
-        size.alias("non_null_count"),
-        *[F.when(size > 0, F.col(k) / size).otherwise(F.lit(0.0)).alias(k) for k in probes],
+        *[F.coalesce(k, F.lit(0)).alias(f"{v}_count") for k, v in (("n", "non_null"), *zip(PROBES, PROBES))],
+    )
+
+
+def add_type_counts(parts: DataFrame) -> DataFrame:
+    """The counts of a table from those of its parts: sums, so neither order nor split matters."""
+    counts = [f"{k}_count" for k in ("non_null", *PROBES)]
+    return parts.groupBy("column_name").agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def _shares(counts: DataFrame) -> DataFrame:
+    """Per column the share of its non-null values that reads as each type."""
+    size = F.col("non_null_count")
+    return counts.select(
+        "column_name",
+        size,
+        *[F.when(size > 0, F.col(f"{k}_count") / size).otherwise(F.lit(0.0)).alias(f"{k}_share") for k in PROBES],
     )
 
 
@@ -322,6 +343,11 @@ def infer_types(
     column by name, or to ``string``, to say otherwise.
     """
     columns = [c for c in columns_of_type(df, T.StringType) if c not in skip]
+    return types_of_counts(type_counts(df, columns, options))
+
+
+def types_of_counts(counts: DataFrame) -> DataFrame:
+    """(column_name, inferred_type) that the counts of whole columns suggest."""
     numeric = F.col("numeric_share") > NUMERIC_SHARE
     suggested = (
         F.when(F.col("boolean_share") > BOOLEAN_SHARE, "boolean")
@@ -331,9 +357,21 @@ def infer_types(
         .when(F.col("date_share") > DATE_SHARE, "date")
         .otherwise("string")
     )
-    return _shares(df, columns, options).select(
-        "column_name", suggested.alias("inferred_type")
-    )
+    return _shares(counts).select("column_name", suggested.alias("inferred_type"))
+
+
+# What holds the values of both; any other pair of different types only meets in string.
+WIDER = {frozenset(("long", "decimal")): "decimal", frozenset(("date", "timestamp")): "timestamp"}
+
+
+def wider_type(one: str | None, other: str | None) -> str | None:
+    """The narrowest inferred type that holds the values of both; None is the type of no values.
+
+    Commutative, associative and idempotent, so the join of many types has no order.
+    """
+    if one is None or other is None or one == other:
+        return other if one is None else one
+    return WIDER.get(frozenset((one, other)), "string")
 
 
 def infer_mapping(

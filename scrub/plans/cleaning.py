@@ -119,13 +119,21 @@ class Result:
         )
 
 
-def shape(df: DataFrame, config: CleaningConfig) -> Shaped:
-    """Clean strings, convert types and fill gaps. Inference runs one aggregate; the rest is lazy."""
-    text = clean_strings(
-        df, config.trim, config.collapse, config.string_case, config.alnum_columns
-    )
+def clean_text(df: DataFrame, config: CleaningConfig) -> DataFrame:
+    return clean_strings(df, config.trim, config.collapse, config.string_case, config.alnum_columns)
+
+
+def shape(
+    df: DataFrame, config: CleaningConfig, inferred: Mapping[str, str] | None = None
+) -> Shaped:
+    """Clean strings, convert types and fill gaps.
+
+    Inference runs one aggregate, unless what it found elsewhere is given; the rest is lazy.
+    """
+    text = clean_text(df, config)
     options = config.convert_options
-    inferred = infer_mapping(text, tuple(config.type_map), options) if config.infer else {}
+    if inferred is None:
+        inferred = infer_mapping(text, tuple(config.type_map), options) if config.infer else {}
     conversions = plan_conversions(text, config.type_map, inferred, options)
     filled = fill_nulls(
         apply_conversions(text, conversions),
@@ -199,12 +207,17 @@ def run_metrics(
         parts.append(dedup_counts(finished, columns).select("distinct_records"))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     both = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return score_counts(both, len(columns), conversion_failures)
+
+
+def score_counts(counts: DataFrame, width: int, conversion_failures: int) -> DataFrame:
+    """The metrics row from one row of counters of a table of ``width`` columns."""
     total = F.col("output_records")
-    cells = total * len(columns)
+    cells = total * width
     failures = (
         F.col("validation_failures") + F.lit(conversion_failures) + F.col("quarantined_records")
     )
-    scored = both.select(
+    scored = counts.select(
         total.alias("total_records"),
         (F.col("kept_records") - total).alias("duplicate_records"),
         "null_records",

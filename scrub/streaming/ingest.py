@@ -46,8 +46,16 @@ def ingest_new(
         spark.readStream.format(fmt).schema(schema)
         .options(recursiveFileLookup=True, **options).load(source)
     )
+    drain(stream, checkpoint, apply)
+
+
+def drain(
+    stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None], mode: str = "append"
+) -> None:
+    """Give ``apply`` the batches of a stream until nothing new is left."""
     query = (
         stream.writeStream.foreachBatch(apply)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -67,7 +75,7 @@ def clean_new_files(
     Row-wise steps give the same rows as one run over all files. Types must not depend on which rows
     came first, so nothing is inferred: columns without a mapping stay as they are read. A mapping
     that ``infer_mapping`` found over a full table may be given as the type map. Outlier limits,
-    duplicates and scores look at one batch only; deduplicate the target when that matters.
+    duplicates and scores look at one batch only; ``clean_incrementally`` looks at all.
     """
     if not isinstance(config, CleaningConfig):
         config = CleaningConfig.from_dict(config)
