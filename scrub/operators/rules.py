@@ -156,11 +156,18 @@ class RuleResult:
     @property
     def counts(self) -> DataFrame:
         """One row per rule, in order, with the number of rows it affected; one aggregate."""
+        if not self.rules:
+            return self.counts_of(self.tagged.limit(0))
+        return self.counts_of(self.tagged.agg(*self.affected_all()))
+
+    def affected_all(self) -> list[Column]:
+        """Aggregates over the tagged table: rows affected by rule i as ``n<i>``."""
+        return [self.affected(i).alias(f"n{i}") for i in range(len(self.rules))]
+
+    def counts_of(self, counted: DataFrame) -> DataFrame:
+        """``counts`` from one row that holds what ``affected_all`` gives."""
         if not self.rules:
             return self.tagged.sparkSession.createDataFrame([], COUNTS_SCHEMA)
-        counted = self.tagged.agg(
-            *[self.affected(i).alias(f"n{i}") for i in range(len(self.rules))]
-        )
         return rows_from_one(
             counted,
             [

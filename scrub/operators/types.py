@@ -231,10 +231,27 @@ def conversion_report(
     plan = plan_conversions(df, mapping or {}, inferred, options)
     if not plan:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    counts, rows = [], []
+    counted = df.agg(*counts_before(plan), *counts_after(plan, converted=False))
+    return report_of(counted, plan)
+
+
+def counts_before(plan: Sequence[Conversion]) -> list[Column]:
+    """Aggregates over the table before conversion: values of the i-th converted column as ``b<i>``."""
+    return [F.count(ref(p.column)).alias(f"b{i}") for i, p in enumerate(plan)]
+
+
+def counts_after(plan: Sequence[Conversion], converted: bool = True) -> list[Column]:
+    """The same as ``a<i>`` of the converted table, or of the table before by converting in place."""
+    return [
+        F.count(ref(p.column) if converted or p.value is None else p.value).alias(f"a{i}")
+        for i, p in enumerate(plan)
+    ]
+
+
+def report_of(counted: DataFrame, plan: Sequence[Conversion]) -> DataFrame:
+    """The conversion report from one row of the counts before and after."""
+    rows = []
     for i, p in enumerate(plan):
-        after = ref(p.column) if p.value is None else p.value
-        counts += [F.count(ref(p.column)).alias(f"b{i}"), F.count(after).alias(f"a{i}")]
         before, kept = F.col(f"b{i}"), F.col(f"a{i}")
         rate = F.when(before > 0, kept / before).otherwise(F.lit(1.0))
         rows.append(
@@ -250,7 +267,7 @@ def conversion_report(
                 "error": F.lit(p.error).cast("string"),
             }
         )
-    return rows_from_one(df.agg(*counts), rows)
+    return rows_from_one(counted, rows)
 
 
 REPORT_SCHEMA = (

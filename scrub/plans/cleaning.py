@@ -15,7 +15,7 @@ from functools import cached_property, reduce
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import AUDIT_COLUMNS, data_columns, missing_cells
@@ -32,8 +32,11 @@ from ..operators.types import (
     Conversion,
     apply_conversions,
     conversion_report,
+    counts_after,
+    counts_before,
     infer_mapping,
     plan_conversions,
+    report_of,
 )
 from ..sources.readers import (
     read_table,
@@ -53,6 +56,33 @@ def _lazily(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+class Watch:
+    """Aggregates that are gathered by the jobs that write a run's tables, without a job of their own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._observed: list[tuple[Observation, list[str]]] = []
+
+    def over(self, df: DataFrame, aggregates: list[Column]) -> DataFrame:
+        """``df``, whose rows are counted by the first job that reads it whole."""
+        if not aggregates:
+            return df
+        names = df.agg(*aggregates).columns
+        observation = Observation()
+        self._observed.append((observation, names))
+        return df.observe(observation, *aggregates)
+
+    @cached_property
+    def found(self) -> DataFrame:
+        """One row of all aggregates, known numbers; to be asked for once the tables are written."""
+        row = {n: found.get(n) for o, names in self._observed for found in (o.get,) for n in names}
+        schema = ", ".join(f"{n} long" for n in row)
+        return self.spark.createDataFrame([tuple(int(v or 0) for v in row.values())], schema)
+
+    def has(self, name: str) -> bool:
+        return any(name in names for _, names in self._observed)
+
+
 @dataclass(frozen=True)
 class Shaped:
     """A table after the column-wise steps, and what its conversions were."""
@@ -77,6 +107,7 @@ class Result:
     profile: DataFrame | None
     stage: Stage
     schema_warnings: tuple[Issue, ...] = ()
+    watch: Watch | None = None
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -91,28 +122,30 @@ class Result:
     @cached_property
     def metrics(self) -> DataFrame:
         """One row of counters and scores."""
+        failures = sum(c.error is not None for c in self.shaped.conversions)
+        distinct = _stays_distinct(self.judged.clean, self.config)
         finished = self.finished
         if MISSING not in finished.columns:
             finished = finished.withColumn(MISSING, missing_cells(finished))
-        metrics = run_metrics(
-            self.judged,
-            finished,
-            conversion_failures=sum(c.error is not None for c in self.shaped.conversions),
-            distinct=_stays_distinct(self.judged.clean, self.config),
-        )
-        return self.stage(metrics, "metrics")
+        known = self.watch.found if self.watch is not None and self.watch.has("output_records") else None
+        return self.stage(run_metrics(self.judged, finished, failures, distinct, known), "metrics")
 
     @property
     def quarantine(self) -> DataFrame:
         return self.judged.quarantined
 
-    @property
+    @cached_property
     def rule_counts(self) -> DataFrame:
-        return self.judged.counts
+        """Rows affected by each rule; those of a run were counted while they were written."""
+        if self.watch is None:
+            return self.judged.counts
+        return self.judged.counts_of(self.watch.found if self.judged.rules else self.judged.tagged)
 
-    @property
+    @cached_property
     def conversions(self) -> DataFrame:
-        """Success of every type conversion."""
+        """Success of every type conversion; that of a run was counted while it converted."""
+        if self.watch is not None and self.shaped.conversions:
+            return report_of(self.watch.found, self.shaped.conversions)
         return conversion_report(
             self.shaped.text, self.config.type_map, self.shaped.inferred,
             self.config.convert_options,
@@ -124,19 +157,28 @@ def clean_text(df: DataFrame, config: CleaningConfig) -> DataFrame:
 
 
 def shape(
-    df: DataFrame, config: CleaningConfig, inferred: Mapping[str, str] | None = None
+    df: DataFrame,
+    config: CleaningConfig,
+    inferred: Mapping[str, str] | None = None,
+    watch: Watch | None = None,
 ) -> Shaped:
     """Clean strings, convert types and fill gaps.
 
-    Inference runs one aggregate, unless what it found elsewhere is given; the rest is lazy.
+    Inference runs one aggregate, unless what it found elsewhere is given; the rest is lazy. ``watch``
+    counts the values before and after conversion.
     """
     text = clean_text(df, config)
     options = config.convert_options
     if inferred is None:
         inferred = infer_mapping(text, tuple(config.type_map), options) if config.infer else {}
     conversions = plan_conversions(text, config.type_map, inferred, options)
+    if watch is None:
+        converted = apply_conversions(text, conversions)
+    else:
+        before = watch.over(text, counts_before(conversions))
+        converted = watch.over(apply_conversions(before, conversions), counts_after(conversions))
     filled = fill_nulls(
-        apply_conversions(text, conversions),
+        converted,
         config.fill_strings,
         config.fill_numbers,
         config.fill_dates,
@@ -166,14 +208,27 @@ def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Resul
     if config.schema_validation and config.schema:
         warnings_ = tuple(validate_schema(df, config.schema, config.convert_options))
     profiled = stage(profile(df), "profile") if config.profiling else None
-    shaped = shape(df, config)
+    watch = None if stage is _lazily else Watch(df.sparkSession)
+    shaped = shape(df, config, watch=watch)
     judged = judge(shaped.df, config)
-    if stage is not _lazily:
-        judged = judged.over(stage(judged.tagged, "judged"))
+    if watch is not None:
+        tagged = watch.over(judged.tagged, [*judged.totals(), *judged.affected_all()])
+        judged = judged.over(stage(tagged, "judged"))
     finished = finish(judged.clean, config)
     if config.profiling:
-        finished = stage(finished.withColumn(MISSING, missing_cells(finished)), "finished")
-    return Result(config, shaped, judged, finished, profiled, stage, warnings_)
+        finished = finished.withColumn(MISSING, missing_cells(finished))
+        if watch is not None:
+            finished = watch.over(finished, finished_counts())
+        finished = stage(finished, "finished")
+    return Result(config, shaped, judged, finished, profiled, stage, warnings_, watch)
+
+
+def finished_counts() -> list[Column]:
+    """Aggregates over a finished table that carries its missing cells per row."""
+    return [
+        F.count(F.lit(1)).alias("output_records"),
+        F.coalesce(F.sum(MISSING), F.lit(0)).alias("missing_cells"),
+    ]
 
 
 def _stays_distinct(deduplicated: DataFrame, config: CleaningConfig) -> bool:
@@ -188,21 +243,21 @@ def run_metrics(
     finished: DataFrame,
     conversion_failures: int,
     distinct: bool,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """One row of counters and scores; ``finished`` carries its missing cells per row.
 
     The scores describe the finished table. When its rows are known to be ``distinct``, because
-    duplicates were just removed, consistency needs no second shuffle to be known.
+    duplicates were just removed, consistency needs no second shuffle to be known. ``known`` is a row
+    of the counters if they were gathered before.
     """
     columns = [c for c in data_columns(finished) if c != MISSING]
-    parts = [
-        judged.tagged.agg(*judged.totals()),
-        finished.agg(
-            F.count(F.lit(1)).alias("output_records"),
-            F.coalesce(F.sum(MISSING), F.lit(0)).alias("missing_cells"),
-            *([F.count(F.lit(1)).alias("distinct_records")] if distinct else []),
-        ),
-    ]
+    if known is None:
+        parts = [judged.tagged.agg(*judged.totals()), finished.agg(*finished_counts())]
+    else:
+        parts = [known]
+    if distinct:
+        parts[-1] = parts[-1].withColumn("distinct_records", F.col("output_records"))
     if not distinct:
         parts.append(dedup_counts(finished, columns).select("distinct_records"))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -250,7 +305,16 @@ def metrics_record(result: Result, config: CleaningConfig) -> DataFrame:
         record = record.withColumn(
             "column_metrics", column_metrics(result.profile).scalar()
         )
-    return record.withColumns(about)
+    rows = {
+        "rule_counts": result.rule_counts,
+        "conversions": result.conversions,
+        "schema_warnings": record.sparkSession.createDataFrame(
+            [(i.column, i.check, i.expected, i.actual) for i in result.schema_warnings],
+            "column_name string, check string, expected string, actual string",
+        ),
+    }
+    gathered = {n: t.agg(F.collect_list(F.struct(*t.columns))).scalar() for n, t in rows.items()}
+    return record.withColumns(about | gathered)
 
 
 def run(
@@ -302,6 +366,11 @@ def _run(df: DataFrame, config: CleaningConfig, mode: str) -> Result:
         cached = df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         result = plan(df, config, stage=materialize)
+        for low in result.conversions.where("low_success").collect():  # a row per column at most
+            warnings.warn(
+                f"only {low.success_rate:.0%} of the values of {low.column_name} convert to {low.target_type}",
+                stacklevel=3,
+            )
         if result.judged.moves_rows:
             write_quarantine(result.quarantine, config.quarantine_target, mode)
         if config.profiling:

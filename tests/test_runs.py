@@ -173,6 +173,29 @@ def test_run_writes_what_the_plan_says(spark, orders, tmp_path, fmt):
     assert written.select("etl_job_id").distinct().first()[0] == "run-1"
 
 
+def test_a_run_counts_while_it_writes(spark, orders, tmp_path):
+    """Counters, rule counts and conversions are those of the plan, and no job reads the source for them."""
+    target = str(tmp_path / "orders")
+    contract = {"required_columns": ["order_id"], "column_types": {"order_id": "string"}}
+    config = {**vars(STRICT_ORDERS), "target": target, "profiling": True, "schema_validation": True}
+    config["SCHEMA_VALIDATION_CONFIG"] = json.dumps(contract)
+    del config["schema"]
+    with pytest.warns(UserWarning, match="of the values of order_date convert to date"):
+        result = scrub.run(spark, config, orders)
+    planned = scrub.plan(orders, STRICT_ORDERS)
+    for mine, lazy in ((result.rule_counts, planned.rule_counts), (result.conversions, planned.conversions)):
+        assert mine.collect() == lazy.collect() and mine.columns == lazy.columns
+        assert "FileScan" not in mine._jdf.queryExecution().toString()
+        assert "FileScan" in lazy._jdf.queryExecution().toString()
+    counters = ["total_records", "null_records", "quarantined_records", "validation_failures", "completeness_score", "overall_quality_score"]
+    assert result.metrics.select(counters).first() == planned.metrics.select(counters).first()
+    record = json.loads(spark.read.text(target + "_metrics").first()[0])
+    assert [r["rule_name"] for r in record["rule_counts"]] == [r.rule_name for r in STRICT_ORDERS.rules]
+    assert [r["affected_records"] for r in record["rule_counts"]] == [r.affected_records for r in planned.rule_counts.collect()]
+    assert {c["column_name"]: c["low_success"] for c in record["conversions"]}["order_date"]
+    assert record["schema_warnings"] == [{"column_name": "order_id", "check": "type", "expected": "string", "actual": "bigint"}]
+
+
 def test_run_from_files_with_sampling_and_partitions(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(1000).select(F.col("id").cast("string")).write.csv(source, header=True)
