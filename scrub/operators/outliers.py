@@ -54,6 +54,7 @@ def limits_of(
         return None
     low, high = quantiles_
     if method == "iqr":
+        low, high = float(low), float(high)
         low, high = low - IQR_WIDTH * (high - low), high + IQR_WIDTH * (high - low)
     return Limits(low, high)
 

@@ -230,7 +230,7 @@ def _quartiles(
     if exact or not places:
         found = quantiles(df, columns, QUARTILES, exact=True)
         return df.sparkSession.createDataFrame(
-            [(i, found[c]) for i, c in zip(places, columns)],
+            [(i, found[c] and [float(x) for x in found[c]]) for i, c in zip(places, columns)],
             "ordinal int, quartiles array<double>",
         )
     return approx_quantiles(df, columns, QUARTILES, relative_error).select(

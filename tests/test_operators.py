@@ -1,5 +1,6 @@
 """Table operators: skipping, errors, order of steps, awkward types."""
 
+import importlib
 import random
 from datetime import date
 from decimal import Decimal
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 import scrub
 from scrub import Action, ConvertOptions, DerivedColumn, Rule, SchemaError, SchemaSpec
 
+# The package offers the function of the same name.
+quantile_code = importlib.import_module("scrub.operators.quantiles")
+
 
 def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*order or df.columns).collect()]
@@ -213,6 +217,38 @@ def test_exact_quantiles_by_narrowing_equal_the_built_in(spark, values):
     assert narrowed == pytest.approx(built_in, rel=1e-12)
 
 
+@pytest.mark.parametrize("margin, size", [(quantile_code.MARGIN, quantile_code.SKETCH_SIZE), (0.0, 8)])
+def test_exact_quantiles_keep_all_digits(spark, monkeypatch, margin, size):
+    """Whole numbers beyond a double's 53 bits and decimals, also where sketches miss the ranks."""
+    monkeypatch.setattr(quantile_code, "MARGIN", margin)
+    monkeypatch.setattr(quantile_code, "SKETCH_SIZE", size)
+    random.seed(2)
+    big = [2**60 + random.randrange(5000) for _ in range(4001)]
+    price = [Decimal(random.randrange(10**17)).scaleb(-4) for _ in range(4001)]
+    rows_ = [(a, b, random.choice([None, 3, 4])) for a, b in zip(big, price)]
+    df = spark.createDataFrame(rows_, "a long, b decimal(18,4), c int")
+    wanted = [0.0, 0.01, 0.25, 0.5, 0.75, 1.0]
+    found = scrub.quantiles(df, ["a", "b", "c"], wanted, exact=True, exact_values=50)
+    assert found["a"] == [sorted(big)[round(p * 4000)] for p in wanted]
+    assert found["b"] == [sorted(price)[round(p * 4000)] for p in wanted]
+    built_in = df.agg(F.percentile("c", wanted)).first()[0]
+    assert found["c"] == built_in
+
+
+def test_exact_quantiles_read_the_table_twice(spark):
+    df = spark.range(60_000).select("id", (F.col("id") * 7 % 1009).alias("b"), F.rand(3).alias("c"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    found = scrub.quantiles(df.mapInArrow(counted, df.schema), df.columns, [0.01, 0.25, 0.5, 0.75, 0.99], exact=True)
+    assert found["id"][2] == 29999.5
+    assert 0 < read.value <= 2 * 60_000
+
+
 # --- duplicates, derived columns, audit ----------------------------------------------------------
 
 
