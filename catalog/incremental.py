@@ -14,7 +14,7 @@ from scrub.streaming.ingest import drain
 from scrub.streaming.whole import read_batches, stateful_session
 
 from .queries import (
-    LINEITEM_NUMBERS, METRICS, ORACLES, SCORES, STRICT_ORDERS, STRICT_SQL, per_column, shown,
+    LINEITEM_NUMBERS, METRICS, ORACLES, SCORES, SHAPED_SQL, STRICT_ORDERS, STRICT_SQL, per_column, shown,
 )
 from .registry import query
 
@@ -144,3 +144,37 @@ def ingest_orders(df):
 @query("ingest_orders_metrics", "dirty_orders", ORACLES["clean_orders_metrics"])
 def ingest_orders_metrics(df):
     return rounded(ingested(df).metrics)
+
+
+# --- what a run says of itself, from its metrics file --------------------------------------------
+
+
+@query(
+    "run_conversions", "dirty_orders",
+    f"""WITH raw AS (SELECT * FROM <dirty_orders>), {SHAPED_SQL}, n AS (
+      SELECT 'amount' AS column_name, 'decimal(12,2)' AS target_type, (SELECT count(amount) FROM raw) AS before_count,
+        (SELECT count(amount) FROM c) AS after_count UNION ALL
+      SELECT 'order_date', 'date', (SELECT count(order_date) FROM raw), (SELECT count(order_date) FROM c) UNION ALL
+      SELECT 'is_active', 'boolean', (SELECT count(is_active) FROM raw), (SELECT count(is_active) FROM c))
+    SELECT *, round(after_count * 1.0 / before_count, 6) AS success_rate, after_count < 0.8 * before_count AS low_success FROM n""",
+)
+def run_conversions(df):
+    config = ran(df)
+    record = scrub.read_table(df.sparkSession, config.metrics_target, "json")
+    return record.select(F.inline("conversions")).select(
+        "column_name", "target_type", "before_count", "after_count", F.round("success_rate", 6).alias("success_rate"), "low_success"
+    )
+
+
+@query(
+    "run_rule_counts", "dirty_orders",
+    STRICT_SQL + """SELECT 0 AS rule_order, 'no_amount' AS rule_name, (SELECT count(*) FROM q1) AS affected_records
+    UNION ALL SELECT 1, 'large', (SELECT count(*) FROM f WHERE amount > 400000)
+    UNION ALL SELECT 2, 'vague', (SELECT count(*) FROM g WHERE priority_vague_flag)
+    UNION ALL SELECT 3, 'old', (SELECT count(*) FROM q2)
+    UNION ALL SELECT 4, 'small', (SELECT count(*) FROM h) - (SELECT count(*) FROM r)""",
+)
+def run_rule_counts(df):
+    config = ran(df)
+    record = scrub.read_table(df.sparkSession, config.metrics_target, "json")
+    return record.select(F.inline("rule_counts")).select("rule_order", "rule_name", "affected_records")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -249,49 +251,55 @@ def str_trim(df):
     )
 
 
+DOCUMENT_TEXTS = ("text", "lang", "source")
+
+
 def documents(**options):
     def build(df):
-        cleaned = scrub.clean_strings(df.select("doc_id", "text"), **options)
+        cleaned = scrub.clean_strings(df, **options)
         return cleaned.select(
-            "doc_id", F.length("text").alias("n"), F.md5("text").alias("fingerprint")
+            "doc_id", *[F.length(c).alias(f"{c}_n") for c in DOCUMENT_TEXTS],
+            *[F.md5(c).alias(f"{c}_md5") for c in DOCUMENT_TEXTS],
         )
 
     return build
 
 
 def documents_sql(value: str) -> str:
-    return f"""WITH t AS (SELECT doc_id, {value} AS x FROM documents)
-    SELECT doc_id, length(x) AS n, md5(x) AS fingerprint FROM t"""
+    """All texts of the documents by ``value``, in which ``{c}`` is a column."""
+    values = ", ".join(f"{value.format(c=c)} AS {c}" for c in DOCUMENT_TEXTS)
+    found = ", ".join(f"length({c}) AS {c}_n, md5({c}) AS {c}_md5" for c in DOCUMENT_TEXTS)
+    return f"WITH t AS (SELECT doc_id, {values} FROM documents) SELECT doc_id, {found} FROM t"
 
 
 SPACES = r"'[ \t\n\x0B\f\r]+'"
 
 query(
     "str_collapse", "documents",
-    documents_sql(f"regexp_replace(text, {SPACES}, ' ', 'g')"),
+    documents_sql(f"regexp_replace({{c}}, {SPACES}, ' ', 'g')"),
 )(documents(trim=False))
 
-query("str_lower", "documents", documents_sql("lower(text)"))(
+query("str_lower", "documents", documents_sql("lower({c})"))(
     documents(trim=False, collapse=False, case="lower")
 )
 
 # DuckDB maps characters one by one; the upper case of the German sharp s is two letters.
-query("str_upper", "documents", documents_sql("upper(replace(text, 'ß', 'ss'))"))(
+query("str_upper", "documents", documents_sql("upper(replace({c}, 'ß', 'ss'))"))(
     documents(trim=False, collapse=False, case="upper")
 )
 
 query(
     "str_alnum", "documents",
-    documents_sql(r"regexp_replace(text, '[^a-zA-Z0-9 \t\n\x0B\f\r]', '', 'g')"),
-)(documents(trim=False, collapse=False, alnum_columns=("text",)))
+    documents_sql(r"regexp_replace({c}, '[^a-zA-Z0-9 \t\n\x0B\f\r]', '', 'g')"),
+)(documents(trim=False, collapse=False, alnum_columns=DOCUMENT_TEXTS))
 
 query(
     "str_clean_all", "documents",
     documents_sql(
-        rf"regexp_replace(lower(regexp_replace(trim(text), {SPACES}, ' ', 'g')), "
+        rf"regexp_replace(lower(regexp_replace(trim({{c}}), {SPACES}, ' ', 'g')), "
         r"'[^a-zA-Z0-9 \t\n\x0B\f\r]', '', 'g')"
     ),
-)(documents(case="lower", alnum_columns=("text",)))
+)(documents(case="lower", alnum_columns=DOCUMENT_TEXTS))
 
 
 @query(
@@ -887,6 +895,12 @@ def dq_consistency(df):
     return scrub.consistency(df).withColumn("consistency_score", F.round("consistency_score", 6))
 
 
+METRICS = (
+    "total_records", "duplicate_records", "null_records", "quarantined_records",
+    "type_conversion_failures", "validation_failures", "input_records",
+)
+SCORES = ("completeness_score", "consistency_score", "validity_score", "overall_quality_score")
+
 ORDER_MISSING = """(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END
     + CASE WHEN amount IS NULL THEN 1 ELSE 0 END + CASE WHEN order_date IS NULL THEN 1 ELSE 0 END
     + CASE WHEN is_active IS NULL THEN 1 ELSE 0 END)"""
@@ -915,18 +929,18 @@ CLEAN_SQL = f"""WITH {SHAPED_SQL}, k AS (SELECT * FROM c WHERE customer_id IS NO
     CLEAN_SQL + f""", raw AS (SELECT * FROM <dirty_orders>),
     m AS (SELECT 'before' AS stage, count(*) AS n, sum(CASE WHEN customer_id IS NULL THEN 1 ELSE 0
             END + CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS miss,
-            (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS d FROM raw
-          UNION ALL SELECT 'after', count(*), sum({ORDER_MISSING}), count(*) FROM u)
-    SELECT stage, n AS total_records, round((n * 6 - miss) * 100.0 / (n * 6), 6)
-      AS completeness_score, round(d * 100.0 / n, 6) AS consistency_score FROM m""",
+            (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS d,
+            (SELECT count(*) FROM k) - (SELECT count(*) FROM r) AS failed FROM raw
+          UNION ALL SELECT 'after', count(*), sum({ORDER_MISSING}), count(*), 0 FROM u),
+    s AS (SELECT stage, n, (n * 6 - miss) * 100.0 / (n * 6) AS c, d * 100.0 / n AS e,
+            (n - failed) * 100.0 / n AS v FROM m)
+    SELECT stage, n AS total_records, round(c, 6) AS completeness_score, round(e, 6)
+      AS consistency_score, round(v, 6) AS validity_score,
+      round(0.4 * c + 0.3 * e + 0.3 * v, 6) AS overall_quality_score FROM s""",
 )
 def dq_before_after(df):
-    cleaned = scrub.plan(df, CLEAN_ORDERS).clean
-    report = scrub.before_after(df, cleaned)
-    return report.select(
-        "stage", "total_records", F.round("completeness_score", 6).alias("completeness_score"),
-        F.round("consistency_score", 6).alias("consistency_score"),
-    )
+    report = scrub.plan(df, CLEAN_ORDERS).before_after
+    return report.select("stage", "total_records", *[F.round(c, 6).alias(c) for c in SCORES])
 
 
 @query(
@@ -937,10 +951,8 @@ def dq_before_after(df):
       + 0.3 * ((n - failed) * 100.0 / n), 6) AS etl_quality_score FROM u, m""",
 )
 def audit_quality_score(df):
-    planned = scrub.plan(df, CLEAN_ORDERS)
-    score = planned.metrics.select("overall_quality_score").scalar()
-    audited = scrub.add_audit(planned.clean.drop(*scrub.functions.AUDIT_COLUMNS), score=score)
-    return audited.select("order_id", F.round("etl_quality_score", 6).alias("etl_quality_score"))
+    clean = scrub.plan(df, replace(CLEAN_ORDERS, profiling=True)).clean
+    return clean.select("order_id", F.round("etl_quality_score", 6).alias("etl_quality_score"))
 
 
 # --- composed runs -------------------------------------------------------------------------------
@@ -1004,13 +1016,6 @@ def clean_orders_quarantine(df):
     return shown(scrub.plan(df, STRICT_ORDERS).quarantine.drop("quarantine_timestamp"))
 
 
-METRICS = (
-    "total_records", "duplicate_records", "null_records", "quarantined_records",
-    "type_conversion_failures", "validation_failures", "input_records",
-)
-SCORES = ("completeness_score", "consistency_score", "validity_score", "overall_quality_score")
-
-
 def rounded_metrics(config: CleaningConfig):
     def build(df):
         metrics = scrub.plan(df, config).metrics
@@ -1133,3 +1138,27 @@ def null_fill_now(df):
 def rule_quarantine_off(df):
     rule = Rule("amount", "amount = 'abc'", Action.QUARANTINE)
     return scrub.apply_rules(df, [rule], quarantine=False).clean.select("order_id", "amount")
+
+
+# Days since 1970 of years that calendars of most clients do not reach.
+FAR_YEARS = (-290308, -290307, -12345, -1, 12345, 123456, 294246, 294247, 999999, 1234567)
+
+
+@query(
+    "parse_far_years", "orders",
+    # The calendar repeats every 400 years, which have 146097 days.
+    "WITH y AS (SELECT unnest([" + ", ".join(map(str, FAR_YEARS)) + """]) AS y),
+    t AS (SELECT o_orderkey, o_orderdate AS o, y, CAST(floor(y / 400.0) AS BIGINT) AS era FROM orders, y)
+    SELECT o_orderkey, y, CASE WHEN y BETWEEN -290307 AND 294246 THEN
+      datediff('day', DATE '1970-01-01', make_date(2000 + y - era * 400, month(o), least(day(o), 28)))
+      + (era - 5) * 146097 END AS days FROM t""",
+)
+def parse_far_years(df):
+    years = df.select("o_orderkey", "o_orderdate", F.explode(F.lit(list(FAR_YEARS))).alias("y"))
+    sign = F.when(F.col("y") > 9999, "+").when(F.col("y") < 0, "-").otherwise("")
+    year = F.concat(sign, F.lpad(F.abs("y").cast("string"), 4, "0"))
+    year = F.when(F.abs("y") > 9999, F.concat(sign, F.abs("y").cast("string"))).otherwise(year)
+    month, day = F.lpad(F.month("o_orderdate").cast("string"), 2, "0"), F.least(F.day("o_orderdate"), F.lit(28)).cast("string")
+    text = F.concat_ws("-", year, month, F.lpad(day, 2, "0"))
+    found = scrub.convert_types(years.withColumn("day", text), {"day": "date"}, infer=False)
+    return found.select("o_orderkey", "y", F.unix_date("day").alias("days"))

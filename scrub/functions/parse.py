@@ -31,20 +31,26 @@ NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 FRACTIONAL_NUMBER = r"^\s*[+-]?([0-9]+\.[0-9]*|\.[0-9]+)\s*$"
 
 # Shapes of the runs of pattern letters, digits written as 0. Years of more than four digits carry a
-# sign; those of six and more are not read, because Spark's own parser fails on them for good when
-# they are beyond the range of its timestamps. Other letters have no fixed shape.
+# sign. Spark's own parser fails for good on years beyond the range of its timestamps, so those of six
+# digits are looked at first; longer ones are never in range. Other letters have no fixed shape.
+_SIX_DIGITS = ("+000000", "-000000")
 _RUNS = {
-    "yyyy": ("0000", "+00000", "-0000", "-00000"), "MM": ("00",), "M": ("0", "00"), "dd": ("00",),
+    "yyyy": ("0000", "+00000", "-0000", "-00000", *_SIX_DIGITS), "MM": ("00",), "M": ("0", "00"), "dd": ("00",),
     "d": ("0", "00"), "HH": ("00",), "H": ("0", "00"), "mm": ("00",), "m": ("0", "00"),
     "ss": ("00",), "s": ("0", "00"), "SSS": ("0", "00", "000"),
 }
 _TOKEN = re.compile(r"'([^']+)'|([A-Za-z])\2*|([-/. :,_])")
-_BETWEEN, _AFTER = "\x02", "\x01"
+_BETWEEN, _AFTER, _FAR = "\x02", "\x01", "\x03"
 _FAR_YEAR = r"[+-]\d{6}"
+# Whole years that timestamps of 64 bits hold.
+_LEAST_YEAR, _MOST_YEAR = -290_307, 294_246
 
 
-def shapes_of(fmt: str) -> list[str] | None:
-    """Every usual shape a text of the date format can have, or None if that is not known."""
+def shapes_of(fmt: str) -> dict[str, bool] | None:
+    """Every usual shape a text of the date format can have, and whether its year has six digits.
+
+    None if the shapes are not known.
+    """
     parts, at = [], 0
     while at < len(fmt):
         token = _TOKEN.match(fmt, at)
@@ -56,7 +62,7 @@ def shapes_of(fmt: str) -> list[str] | None:
             return None
         parts.append(run)
         at = token.end()
-    return ["".join(p) for p in product(*parts)]
+    return {"".join(p): any(x in _SIX_DIGITS for x in p) for p in product(*parts)}
 
 
 def _digits_as_zero(text: str) -> str:
@@ -106,11 +112,18 @@ def _first_reading(c: Column, formats: Sequence[str], kind: str) -> Column:
     )
     readings = []
     for i in range(max(map(len, [loose, *choices.values()]), default=0)):
-        entries = [s + _BETWEEN + found[i] for s, found in choices.items() if i < len(found)]
+        entries = [
+            s + _BETWEEN + (_FAR if (known[found[i]] or {}).get(s) else "") + found[i]
+            for s, found in choices.items() if i < len(found)
+        ]
         fmt = F.lit(None).cast("string")
         if entries:
             table = F.str_to_map(F.lit(_AFTER.join(entries)), F.lit(_AFTER), F.lit(_BETWEEN))
             fmt = F.try_element_at(table, shape)
+            if any(_FAR in e for e in entries):
+                year = F.regexp_extract(c, "(" + _FAR_YEAR + ")", 1).try_cast("int")
+                reads = F.when(year.between(_LEAST_YEAR, _MOST_YEAR), F.substr(fmt, F.lit(2)))
+                fmt = F.when(fmt.startswith(_FAR), reads).otherwise(fmt)
         if i < len(loose):
             pattern = stretched.get(loose[i])
             open_ended = c.rlike(pattern) if pattern else ~c.rlike(_FAR_YEAR)

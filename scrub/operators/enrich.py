@@ -70,14 +70,17 @@ def add_audit(
     score: float | Column | None = None,
     null_token: str | None = None,
     true_source: bool = False,
+    source_column: Column | None = None,
 ) -> DataFrame:
     """Add load time, job, source path and row hash; the quality score too when one is given.
 
     The hash covers all other columns. ``score`` may be a number or a column, such as a scalar
     subquery on the metrics. ``true_source`` takes each row's own file instead of ``source``;
-    it needs a frame straight from files.
+    it needs a frame straight from files. ``source_column`` is a path that rows carry already.
     """
     path = F.col("_metadata.file_path") if true_source else F.lit(source).cast("string")
+    if source_column is not None:
+        path = source_column
     added = {
         "etl_load_timestamp": F.current_timestamp(),
         "etl_job_id": F.lit(job_id),

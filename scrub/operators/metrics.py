@@ -80,9 +80,18 @@ def scores(df: DataFrame) -> DataFrame:
     )
 
 
-def before_after(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Completeness and consistency of the raw and of the cleaned table, one row each."""
-    return (
-        scores(before).select(F.lit("before").alias("stage"), "*")
-        .unionByName(scores(after).select(F.lit("after").alias("stage"), "*"))
-    )
+def before_after(before: DataFrame, after: DataFrame, failures: Column | int = 0) -> DataFrame:
+    """All scores of the raw and of the cleaned table, one row each.
+
+    ``failures`` is how many records of the raw table broke a rule; the cleaned one holds none of them.
+    """
+    stages = []
+    for stage, df, broken in (("before", before, failures), ("after", after, 0)):
+        broken = broken if isinstance(broken, Column) else F.lit(broken)
+        validity = validity_score(F.col("total_records"), broken)
+        scored = scores(df).select(F.lit(stage).alias("stage"), "*", validity.alias("validity_score"))
+        overall = overall_score(
+            F.col("completeness_score"), F.col("consistency_score"), F.col("validity_score")
+        )
+        stages.append(scored.withColumn("overall_quality_score", overall))
+    return stages[0].unionByName(stages[1])

@@ -119,7 +119,10 @@ def plan_conversions(
     inferred: Mapping[str, str] | None = None,
     options: ConvertOptions = ConvertOptions(),
 ) -> list[Conversion]:
-    """One entry per column that is to change. Only analyses the expressions, runs nothing."""
+    """One entry per column that is to change. Analyses the expressions and runs nothing, but for the
+    overflow policy ``string``: whether a column stays decimal or turns into text is known after one
+    aggregate over the columns mapped to decimal.
+    """
     plan = []
     for field in df.schema.fields:
         explicit = mapping.get(field.name)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import AUDIT_COLUMNS, data_columns, missing_cells
 from ..operators.dedup import dedup, dedup_counts
 from ..operators.enrich import add_audit, derive
-from ..operators.metrics import overall_score, percent, validity_score
+from ..operators.metrics import before_after, overall_score, percent, validity_score
 from ..operators.nulls import fill_nulls
 from ..operators.outliers import flag_outliers
 from ..operators.profile import column_metrics, profile
@@ -49,6 +49,8 @@ from ..sources.writers import write_metrics, write_quarantine, write_table
 from .config import CleaningConfig
 
 MISSING = "__missing_cells"
+# Until the end of a run a row's own path is a struct, which no step takes for text.
+SOURCE_PATH = "etl_source_path"
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
@@ -101,6 +103,7 @@ class Result:
     """
 
     config: CleaningConfig
+    source: DataFrame
     shaped: Shaped
     judged: RuleResult
     finished: DataFrame
@@ -115,8 +118,12 @@ class Result:
         score = None
         if self.config.profiling:
             score = self.metrics.select("overall_quality_score").scalar()
+        finished, own = self.finished.drop(MISSING), None
+        if self.config.true_source and SOURCE_PATH in finished.columns:
+            own = F.col(SOURCE_PATH).getField("path")
         return add_audit(
-            self.finished.drop(MISSING), self.config.job_run_id, self.config.source, score
+            finished, self.config.job_run_id, self.config.source, score, self.config.null_token,
+            source_column=own,
         )
 
     @cached_property
@@ -130,9 +137,23 @@ class Result:
         known = self.watch.found if self.watch is not None and self.watch.has("output_records") else None
         return self.stage(run_metrics(self.judged, finished, failures, distinct, known), "metrics")
 
+    @cached_property
+    def before_after(self) -> DataFrame:
+        """Scores of the table as it came and as it is now; groups all rows of both.
+
+        What a rule took out or a conversion could not do speaks against the table as it came.
+        """
+        counted = self.metrics.select(
+            (F.col("validation_failures") + F.col("quarantined_records") + F.col("type_conversion_failures")).alias("n")
+        )
+        return before_after(self.source, self.finished.drop(MISSING), counted.scalar())
+
     @property
     def quarantine(self) -> DataFrame:
-        return self.judged.quarantined
+        moved = self.judged.quarantined
+        if self.config.true_source and SOURCE_PATH in moved.columns:
+            return moved.withColumn(SOURCE_PATH, F.col(SOURCE_PATH).getField("path"))
+        return moved
 
     @cached_property
     def rule_counts(self) -> DataFrame:
@@ -192,14 +213,19 @@ def shape(
 
 def judge(df: DataFrame, config: CleaningConfig) -> RuleResult:
     """Row-wise verdicts: missing keys first, then the rules."""
-    return apply_rules(df, config.rules, config.quarantine, null_keys=config.critical_columns)
+    return apply_rules(
+        df, config.rules, config.quarantine, config.unknown, null_keys=config.critical_columns
+    )
 
 
 def finish(df: DataFrame, config: CleaningConfig) -> DataFrame:
     """The steps that look at all rows, then derived columns."""
     if config.outliers:
         df = flag_outliers(df, config.outlier_method, config.outlier_threshold)
-    return derive(dedup(df, config.dedup_subset), config.derived)
+    subset = config.dedup_subset
+    if SOURCE_PATH in df.columns and not any(c in subset for c in df.columns):
+        subset = [c for c in df.columns if c != SOURCE_PATH]  # the file a row came from is no part of it
+    return derive(dedup(df, subset), config.derived)
 
 
 def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Result:
@@ -207,7 +233,9 @@ def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Resul
     warnings_ = ()
     if config.schema_validation and config.schema:
         warnings_ = tuple(validate_schema(df, config.schema, config.convert_options))
-    profiled = stage(profile(df), "profile") if config.profiling else None
+    profiled = None
+    if config.profiling:
+        profiled = stage(profile(df.drop(SOURCE_PATH), approx_distinct=config.approx_distinct), "profile")
     watch = None if stage is _lazily else Watch(df.sparkSession)
     shaped = shape(df, config, watch=watch)
     judged = judge(shaped.df, config)
@@ -220,7 +248,7 @@ def plan(df: DataFrame, config: CleaningConfig, stage: Stage = _lazily) -> Resul
         if watch is not None:
             finished = watch.over(finished, finished_counts())
         finished = stage(finished, "finished")
-    return Result(config, shaped, judged, finished, profiled, stage, warnings_, watch)
+    return Result(config, df, shaped, judged, finished, profiled, stage, warnings_, watch)
 
 
 def finished_counts() -> list[Column]:
@@ -313,6 +341,8 @@ def metrics_record(result: Result, config: CleaningConfig) -> DataFrame:
             "column_name string, check string, expected string, actual string",
         ),
     }
+    if config.advanced_analytics:
+        rows["before_after"] = result.before_after
     gathered = {n: t.agg(F.collect_list(F.struct(*t.columns))).scalar() for n, t in rows.items()}
     return record.withColumns(about | gathered)
 
@@ -339,6 +369,8 @@ def run(
         csv = config.csv_options if config.input_format == "csv" else {}
         df = read_table(spark, config.source, config.input_format, **csv)
         size = source_bytes(spark, config.source)
+        if config.true_source:
+            df = df.withColumn(SOURCE_PATH, F.struct(F.col("_metadata.file_path").alias("path")))
     with sized_shuffles(df.sparkSession, size):
         return _run(df, config, mode)
 

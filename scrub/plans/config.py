@@ -124,6 +124,14 @@ class CleaningConfig:
     sampling: bool = False
     sample_fraction: float = 0.1
     sample_seed: int = 42
+    # Estimate distinct values in profiles instead of moving them.
+    approx_distinct: bool = False
+    # What a drop_row rule makes of a row for which it is NULL: drop or pass.
+    unknown: str = "drop"
+    # Text that stands for NULL in row hashes; without one NULLs are left out.
+    null_token: str | None = None
+    # Give each row the path of its own file as its source; of copies in several files the smallest.
+    true_source: bool = False
 
     def __post_init__(self):
         check_format(self.input_format)
@@ -131,6 +139,7 @@ class CleaningConfig:
         _one_of("case mode", self.string_case, CASES)
         _one_of("overflow policy", self.overflow, ("truncate", "null", "string"))
         _one_of("outlier method", self.outlier_method, METHODS)
+        _one_of("treatment of unknown conditions", self.unknown, ("drop", "pass"))
 
     @property
     def quarantine_target(self) -> str:
@@ -279,7 +288,7 @@ _READERS = {
     **dict.fromkeys(
         ("csv_header", "csv_infer_schema", "csv_multiline", "schema_validation", "profiling",
          "advanced_analytics", "quarantine", "infer", "trim", "collapse", "outliers", "sampling",
-         "cache"),
+         "cache", "approx_distinct", "true_source"),
         _switch,
     ),
     **dict.fromkeys(
@@ -294,7 +303,7 @@ _READERS = {
     ),
     **dict.fromkeys(
         ("input_format", "output_format", "compression", "string_case", "overflow",
-         "outlier_method"),
+         "outlier_method", "unknown"),
         _word,
     ),
     "type_map": _mapping,

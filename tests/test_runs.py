@@ -1,5 +1,6 @@
 """Settings, the composed plan and the run with its outputs."""
 
+import hashlib
 import json
 
 import pytest
@@ -212,6 +213,43 @@ def test_run_from_files_with_sampling_and_partitions(spark, tmp_path):
     assert written.select("etl_source_path").first()[0] == source
 
 
+def test_rows_carry_the_path_of_their_own_file(spark, tmp_path):
+    """A row in two files is one row, from the first of them; paths are no text to clean, hash or count."""
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.csv").write_text("id,v\n1,x\n2,y\n")
+    (source / "B.csv").write_text("id,v\n2,y\n3,-\n4,\n")
+    settings = {
+        "source": str(source), "target": target, "true_source": "true", "STANDARDIZE_STRING_CASE": "upper", "null_token": "?",
+        "approx_distinct": "true", "ENABLE_ADVANCED_ANALYTICS": "true",
+        "CUSTOM_VALIDATION_RULES_JSON": '[{"column": "v", "rule": "v = \'-\'", "action": "quarantine"}]',
+    }
+    result = scrub.run(spark, settings)
+    found = {r.id: r.etl_source_path.rsplit("/", 1)[1] for r in spark.read.parquet(target).collect()}
+    assert found == {1: "a.csv", 2: "B.csv", 4: "B.csv"}
+    assert spark.read.parquet(target + "_quarantine").first().etl_source_path.endswith("/B.csv")
+    plain = scrub.run(spark, settings | {"target": target + "2", "true_source": "false"})
+    columns = ["id", "v", "etl_row_hash"]
+    assert result.clean.select(columns).exceptAll(plain.clean.select(columns)).count() == 0
+    assert result.metrics.first().completeness_score == plain.metrics.first().completeness_score
+    assert result.clean.where("id = 4").first().etl_row_hash == hashlib.md5(b"4|?").hexdigest()
+    scores = {r.stage: r for r in result.before_after.collect()}
+    assert (scores["before"].total_records, scores["after"].total_records) == (5, 3)
+    assert (scores["before"].validity_score, scores["after"].validity_score) == (80.0, 100.0)
+    record = json.loads(spark.read.text(target + "_metrics").first()[0])
+    assert [r["stage"] for r in record["before_after"]] == ["before", "after"]
+
+
+def test_unknown_conditions_may_pass(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", None), ("c", -1)], "k string, v int")
+    rule = [Rule("v", "v < 0", Action.DROP_ROW, "negative")]
+    for unknown, kept in (("drop", ["a"]), ("pass", ["a", "b"])):
+        planned = scrub.plan(df, CleaningConfig(rules=tuple(rule), unknown=unknown, infer=False, profiling=False))
+        assert sorted(r.k for r in planned.clean.collect()) == kept
+    with pytest.raises(ValueError, match="unknown"):
+        CleaningConfig(unknown="keep")
+
+
 def test_run_of_an_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "a string, b double")
     m = scrub.run(spark, {"target": str(tmp_path / "t"), "outliers": True}, df).metrics.first()
