@@ -99,9 +99,9 @@ def find_contained(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, unchanged."""
-    bad = find_contained(docs, items, key=key, text=text).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` that hold no item, unchanged, whatever their other columns are called."""
+    bad = find_contained(docs, items, key=key, text=text).select(F.col(key)).distinct()
+    return docs.join(bad, docs[key].eqNullSafe(bad[key]), "left_anti")
 
 
 ORACLE = r"""

@@ -334,9 +334,8 @@ def classes(
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of their class, unchanged. Rows that share a key are
-    one document, and stay or go together."""
-    extra = classes(docs, key=key, text=text, **options).where(~F.col(key).eqNullSafe(F.col("class_id"))).select(
-        F.col(key).alias("_extra")
-    )
-    return docs.join(extra, F.col(key).eqNullSafe(F.col("_extra")), "left_anti")
+    """The rows of ``docs`` whose key is the smallest of their class, unchanged, whatever their other columns are
+    called. Rows that share a key are one document, and stay or go together."""
+    found = classes(docs, key=key, text=text, **options)
+    extra = found.where(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key))
+    return docs.join(extra, docs[key].eqNullSafe(extra[key]), "left_anti")

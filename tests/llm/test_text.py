@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from test_llm import ROWS, SF_DIR, WIDE, prose
 
 from scrub.llm import kernels as K
-from scrub.llm import periods, pieces, queries, spelling
+from scrub.llm import contamination, neardup, periods, pieces, queries, spelling
 
 
 @pytest.fixture(scope="module")
@@ -262,3 +262,20 @@ def test_one_very_long_document(spark):
     assert row.collapsed == " ".join([*passage, "x"])
     best = periods.find_runs(docs).select("doc_id", periods.strongest(F.col("runs")).alias("best"))
     assert {r.doc_id: r.best and tuple(r.best) for r in best.collect()} == {1: (150_000, 200_000, 1), 2: None}
+
+
+# --- columns of any name --------------------------------------------------------------------------
+
+
+def test_filters_of_documents_with_names_of_their_own(spark):
+    """Columns that are called like those the filters use inside."""
+    text, item = " ".join(prose(41, 60)), " ".join(prose(42, 30))
+    rows = [(1, text), (2, text), (3, item + " " + " ".join(prose(43, 9))), (4, " ".join(prose(44, 40)))]
+    names = ("_bad", "_extra", "_doc", "_item", "item", "class_id", "node")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(n).alias(n) for n in names])
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+    clean = contamination.drop_contaminated(docs, items)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 4]
+    assert {r._bad for r in clean.collect()} == {"_bad"}
