@@ -111,6 +111,17 @@ def run_orders(df):
     return shown(scrub.read_table(df.sparkSession, config.target, "parquet"), *CLEANED)
 
 
+@query("run_published", "dirty_orders", STRICT_CLEAN_SQL)
+def run_published(df):
+    """The second of two versions, as readers of the target see it."""
+    spark = df.sparkSession
+    config = replace(STRICT_ORDERS, target=scratch_path(spark, "published"), versions=True)
+    for part in (df.where("customer_id IS NULL"), df):
+        with scrub.run(spark, config, part):
+            pass
+    return shown(scrub.read_published(spark, config.target), *CLEANED)
+
+
 @query("sink_quarantine", "dirty_orders", ORACLES["clean_orders_quarantine"])
 def sink_quarantine(df):
     config = ran(df)

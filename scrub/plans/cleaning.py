@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 from typing import Any
 
@@ -44,7 +44,8 @@ from ..sources.readers import (
     sized_shuffles,
     source_bytes,
 )
-from ..sources.staging import materialize
+from ..sources.publish import Scratch, current_number, new_version, publish
+from ..sources.staging import scratch_path
 from ..sources.writers import write_metrics, write_quarantine, write_table
 from .config import CleaningConfig
 
@@ -111,6 +112,19 @@ class Result:
     stage: Stage
     schema_warnings: tuple[Issue, ...] = ()
     watch: Watch | None = None
+    scratch: Scratch | None = None
+
+    def release(self) -> None:
+        """Delete the tables that the run stored between its steps. What was written stays; frames of this result
+        can no longer be read."""
+        if self.scratch is not None:
+            self.scratch.release()
+
+    def __enter__(self) -> Result:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.release()
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -388,7 +402,16 @@ def _check_targets(spark: SparkSession, config: CleaningConfig, mode: str) -> No
 
 def _run(df: DataFrame, config: CleaningConfig, mode: str) -> Result:
     """Quarantine and metrics are written first: where the target is there, all of the run is."""
-    _check_targets(df.sparkSession, config, mode)
+    spark = df.sparkSession
+    before = 0
+    if config.versions:
+        folder, before = new_version(config.target), current_number(spark, config.target)
+        named = replace(
+            config, target=f"{folder}/clean", quarantine_path=f"{folder}/quarantine", metrics_path=f"{folder}/metrics"
+        )
+    else:
+        named = config
+        _check_targets(spark, config, mode)
     if config.sampling:
         warnings.warn("a run cleans all rows; draw a sample with sample_rows before it", stacklevel=3)
     cached = None
@@ -396,22 +419,33 @@ def _run(df: DataFrame, config: CleaningConfig, mode: str) -> Result:
         df = repartition_by_rows(df, df.count(), *config.partition_bounds)
     if config.cache:
         cached = df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    scratch = Scratch(spark, scratch_path(spark, "run"))
     try:
-        result = plan(df, config, stage=materialize)
+        result = replace(plan(df, config, stage=scratch.store), scratch=scratch)
         for low in result.conversions.where("low_success").collect():  # a row per column at most
             warnings.warn(
                 f"only {low.success_rate:.0%} of the values of {low.column_name} convert to {low.target_type}",
                 stacklevel=3,
             )
+        outputs = {"clean": _output(named.target, named.output_format, named)}
         if result.judged.moves_rows:
-            write_quarantine(result.quarantine, config.quarantine_target, mode)
+            write_quarantine(result.quarantine, named.quarantine_target, mode)
+            outputs["quarantine"] = _output(named.quarantine_target, "parquet", named)
         if config.profiling:
-            write_metrics(metrics_record(result, config), config.metrics_target, mode)
+            write_metrics(metrics_record(result, config), named.metrics_target, mode)
+            outputs["metrics"] = _output(named.metrics_target, "json", named)
         write_table(
-            result.clean, config.target, config.output_format, config.compression,
+            result.clean, named.target, config.output_format, config.compression,
             config.csv_separator, config.csv_quote, mode,
         )
+        if config.versions:
+            publish(spark, config.target, outputs, before)
         return result
     finally:
         if cached is not None:
             cached.unpersist()
+
+
+def _output(path: str, fmt: str, config: CleaningConfig) -> dict[str, Any]:
+    options = {"header": "true", "sep": config.csv_separator, "quote": config.csv_quote} if fmt == "csv" else {}
+    return {"path": path, "format": fmt, "options": options}

@@ -132,6 +132,8 @@ class CleaningConfig:
     null_token: str | None = None
     # Give each row the path of its own file as its source; of copies in several files the smallest.
     true_source: bool = False
+    # Write outputs as a version below the target that becomes visible in one step (``read_published``).
+    versions: bool = False
 
     def __post_init__(self):
         check_format(self.input_format)
@@ -288,7 +290,7 @@ _READERS = {
     **dict.fromkeys(
         ("csv_header", "csv_infer_schema", "csv_multiline", "schema_validation", "profiling",
          "advanced_analytics", "quarantine", "infer", "trim", "collapse", "outliers", "sampling",
-         "cache", "approx_distinct", "true_source"),
+         "cache", "approx_distinct", "true_source", "versions"),
         _switch,
     ),
     **dict.fromkeys(
