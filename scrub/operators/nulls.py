@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,12 +48,13 @@ def fill_nulls(
     """Fill missing values by the kind of column, all in one projection.
 
     NaN is filled like NULL. ``dates`` may be ``current_timestamp``. A fill value that does not
-    fit a column leaves the column as it is. ``skip`` and audit columns are left alone.
+    fit a column leaves the column as it is, with a warning. Whole numbers keep all their digits. ``skip`` and
+    audit columns are left alone.
     """
     number = None
     if numbers is not None:
         try:
-            number = float(numbers)
+            number = _number(numbers)
         except ValueError:
             warnings.warn(f"not a number, numeric columns are not filled: {numbers!r}")
     filled = {}
@@ -65,12 +67,25 @@ def fill_nulls(
         elif isinstance(kind, T.NumericType) and number is not None:
             filled[name] = F.coalesce(nan_to_null(c, kind), F.lit(number).try_cast(kind), c)
         elif isinstance(kind, TEMPORAL) and dates is not None:
-            filled[name] = F.coalesce(c, _moment(dates, kind, date_format, timestamp_format))
+            moment = _moment(dates, kind, date_format, timestamp_format)
+            # A constant: Spark folds it without a job.
+            if df.sparkSession.sql("SELECT 1").select(moment.isNull()).first()[0]:
+                warnings.warn(f"{dates!r} is no {kind.simpleString()}, NULL stays in {name}")
+            filled[name] = F.coalesce(c, moment)
         elif isinstance(kind, T.BooleanType) and booleans is not None:
             filled[name] = F.coalesce(c, F.lit(str(booleans).lower() == "true"))
     return df.withColumns(filled) if filled else df
 
 
+def _number(value: str | float) -> int | float | Decimal:
+    """A whole number with all its digits, or a double."""
+    try:
+        whole = int(str(value))
+    except ValueError:
+        return float(value)
+    return whole if abs(whole) < 2**63 else Decimal(whole)
+
+
 def _moment(text: str, kind: T.DataType, date_format: str, timestamp_format: str) -> Column:
     if text.lower() == "current_timestamp":
         value = F.current_timestamp()

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import scrub
 from scrub.functions import parse, text
 from scrub.functions.hashing import row_hash
 
@@ -164,3 +165,13 @@ def test_hash_of_nested_columns(spark):
     )
     assert len(df.select(row_hash(df, df.columns).alias("h")).first().h) == 32
     assert df.select(row_hash(df, []).alias("h")).first().h is None
+
+
+def test_fill_values_keep_digits_and_say_when_they_do_not_fit(spark):
+    df = spark.createDataFrame([(None, None, None, None)], "a long, b decimal(25,2), c double, t timestamp")
+    filled = scrub.fill_nulls(df, numbers=str(2**62 + 1)).first()
+    assert (filled.a, filled.b, filled.c) == (2**62 + 1, Decimal(2**62 + 1), float(2**62 + 1))
+    assert scrub.fill_nulls(df, numbers="12345678901234567890123").first().b == Decimal("12345678901234567890123")
+    assert scrub.fill_nulls(df, numbers="0.5").first().c == 0.5
+    with pytest.warns(UserWarning, match="is no timestamp, NULL stays in t"):
+        assert scrub.fill_nulls(df, dates="2024-01-02").first().t is None
