@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ from . import repeats
 SHINGLE = 5
 PERCENT = 80
 COUNTERS = 1 << 16
-#: Ids of documents with candidate lines that are broadcast at most (they are counted first).
+#: (token, name) pairs that a task remembers having sent.
+SENT = 1 << 20
+#: Places of candidate lines that are broadcast at most (they are counted first).
 BROADCAST_ROWS = 500_000
 NEWLINE = 10
 _U = np.uint64
@@ -99,6 +102,32 @@ def _counter(tokens: np.ndarray) -> np.ndarray:
     return (K.mix(tokens) % _U(COUNTERS)).astype(np.int64)
 
 
+def _listed(part: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in a column of lists, and the row of each."""
+    lists = part.column(part.schema.get_field_index(name))
+    rows = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+    return rows, np.asarray(lists.flatten()).astype(np.int64)
+
+
+class _Sent:
+    """Which (token, name) a task has sent already, each with its document; new ones take the places of old ones.
+
+    So a pair that comes in every chunk of text is sent a few times per task.
+    """
+
+    def __init__(self):
+        self.token, self.name = np.zeros((2, SENT), np.uint64)
+        self.id = np.full(SENT, np.iinfo(np.int64).max)
+
+    def fresh(self, token: np.ndarray, name: np.ndarray, id_: np.ndarray) -> np.ndarray:
+        """The rows of which no document with a smaller id is known to have been sent."""
+        slot = (K.mix(token ^ K.mix(name)) % _U(SENT)).astype(np.int64)
+        new = np.flatnonzero((self.token[slot] != token) | (self.name[slot] != name) | (self.id[slot] >= id_))
+        slot = slot[new]
+        self.token[slot], self.name[slot], self.id[slot] = token[new], name[new], id_[new]
+        return new
+
+
 def _sets(of: list[str]):
     """A function for mapInArrow: (key, whole, document, place) of the first line of each token set.
 
@@ -138,6 +167,7 @@ def _prefixes(table: np.ndarray, percent: int):
     counts = np.minimum(table, (1 << 23) - 1).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = _Sent()
         for batch in batches:
             for part, texts in K.chunks(batch):
                 lines = Lines(texts, counts=counts)
@@ -149,6 +179,7 @@ def _prefixes(table: np.ndarray, percent: int):
                 token, line, name = tokens[kept], line[kept], one[line[kept]]
                 own = [c[lines.document[line]] for c in repeats.owners(part)]
                 least, _ = repeats.least([token, name], own, lines.number[line])
+                least = least[sent.fresh(token[least], name[least], own[0][least])]
                 line = line[least]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -163,17 +194,23 @@ def _prefixes(table: np.ndarray, percent: int):
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (name, tokens) of all lines."""
+    """(id, text, places) to (name, tokens) of the lines at those places."""
     for batch in batches:
-        for _, texts in K.chunks(batch):
-            lines = Lines(texts)
+        for part, texts in K.chunks(batch):
+            every = Lines(texts, tokens=False)
+            begin = np.searchsorted(every.document, np.arange(len(texts)))
+            rows, places = _listed(part, "places")
+            at = np.sort(begin[rows] + places)
+            # Each of those lines, without its break, is a text of its own.
+            from_, to = every.begin[at], every.end[at]
+            to = to - ((to > from_) & (texts.data[to - 1] == NEWLINE))
+            size = to - from_
+            offsets = np.append(0, np.cumsum(size))
+            picked = np.repeat(from_ - offsets[:-1], size) + np.arange(offsets[-1])
+            lines = Lines(K.Texts(pa.nulls(len(at)), texts.data[picked], offsets))
             one, _ = lines.names()
-            some = np.unique(one, return_index=True)[1]
-            some = some[lines.size[some] > 0]
-            picked = np.concatenate([np.zeros(0, np.int64), *[np.arange(lines.edges[i], lines.edges[i + 1]) for i in some]])
-            offsets = np.append(0, np.cumsum(lines.size[some])).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(lines.tokens[picked.astype(np.int64)].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(one[some].view(np.int64)), tokens], ["name", "tokens"])
+            tokens = pa.ListArray.from_arrays(pa.array(lines.edges.astype(np.int32)), pa.array(lines.tokens.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), tokens], ["name", "tokens"])
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,30 +221,26 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
             def told(name: str) -> np.ndarray:
                 on = np.zeros(len(lines.begin), bool)
-                column = part.column(part.schema.get_field_index(name))
-                for i, places in enumerate(column.to_pylist()):
-                    if places:
-                        at = begin[i] + np.array(places)
-                        on[at[at < begin[i + 1]]] = True
+                rows, places = _listed(part, name)
+                at = begin[rows] + places
+                on[at[at < begin[rows + 1]]] = True
                 return on
 
             gone = lines.filled & (~told("first") | told("near"))
             removed = np.flatnonzero(gone)
             # A line goes with the break before it; the first that stays loses its break.
             keep = np.repeat(~gone, lines.end - lines.begin)
-            data, offsets = [], [0]
-            for i in range(len(texts)):
-                a, b = texts.offsets[i], texts.offsets[i + 1]
-                body = texts.data[a:b][keep[a:b]].tobytes()
-                if gone[begin[i + 1] - 1] and body.endswith(b"\n"):
-                    body = body[:-1]
-                data.append(body)
-                offsets.append(offsets[-1] + len(body))
+            kept_bytes = np.flatnonzero(keep)
+            edges = np.searchsorted(kept_bytes, texts.offsets)
+            cut = np.flatnonzero(gone[begin[1:] - 1] & (edges[1:] > edges[:-1]))
+            last = kept_bytes[edges[cut + 1] - 1]
+            keep[last[texts.data[last] == NEWLINE]] = False
+            offsets = np.append(0, np.cumsum(keep))[texts.offsets]
             by = np.searchsorted(removed, begin).astype(np.int32)
             numbers = pa.ListArray.from_arrays(pa.array(by), pa.array(lines.number[removed].astype(np.int32)))
             has = np.append(0, np.cumsum(lines.filled))
             kept = pa.StringArray.from_buffers(
-                len(texts), pa.py_buffer(np.array(offsets, np.int32).tobytes()), pa.py_buffer(b"".join(data))
+                len(texts), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(texts.data[keep].tobytes())
             )
             rest = [part.column(part.schema.get_field_index("rest"))] if "rest" in part.schema.names else []
             yield pa.RecordBatch.from_arrays(
@@ -240,14 +273,15 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     live = materialize(
         shared.groupBy("token", "name").agg(F.min(order).alias("place"), F.min("n").alias("n"), F.min("at").alias("at")), "tokens"
     )
-    ids = live.select("place.id").distinct()
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    bodies = source.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    names = live.select("name").distinct()
+    places = materialize(live.groupBy("name").agg(F.min("place").alias("place")), "places")
+    # Only the first line of each set is looked up, in its document.
+    asked = places.select("place.*").groupBy(*of).agg(F.collect_list("line").alias("places"))
+    few = places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    bodies = source.join(F.broadcast(asked) if few else asked, of).select("id", "text", "places")
+    # Copies of a row give the same sets.
     sets = materialize(
-        bodies.mapInArrow(_wanted, "name long, tokens array<long>").join(names, "name", "left_semi").groupBy("name").agg(
-            F.any_value("tokens").alias("tokens")
-        ), "lines",
+        bodies.mapInArrow(_wanted, "name long, tokens array<long>").groupBy("name").agg(F.any_value("tokens").alias("tokens")),
+        "lines",
     )
 
     able = F.expr(
@@ -265,7 +299,6 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     left = live.join(found, "name", "left_anti").join(every, "token").where(able).select("name", "other").distinct()
     late = _similar(left, sets, percent).select("name").distinct()
     gone = found.unionByName(late)
-    places = live.groupBy("name").agg(F.min("place").alias("place"))
     return places.join(gone, "name", "left_semi").select(*[f"place.{c}" for c in of], F.col("place.line").alias("place"))
 
 
