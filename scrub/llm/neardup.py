@@ -216,6 +216,15 @@ def _possible(members: DataFrame, percent: int) -> DataFrame:
     return members.join(least, ["band", "key"]).where(enough).drop("least")
 
 
+def _folded(members: DataFrame) -> DataFrame:
+    """(id, n, own, places, component): one row per text, with its buckets, at most one per band."""
+    return members.groupBy("id", "n", "own", "component").agg(F.collect_list(F.struct("band", "key", "hub")).alias("places"))
+
+
+def _unfolded(state: DataFrame) -> DataFrame:
+    return state.select("id", "n", "own", "component", F.inline("places"))
+
+
 def _centers(members: DataFrame, turn: int) -> DataFrame:
     """A text of each bucket that still is in several components.
 
@@ -301,7 +310,10 @@ def classes(
         "band", "key", "id", "n", F.coalesce("own", F.lit(0)).alias("own"), F.col("id").alias("component")
     )
     members = materialize(_possible(own, percent), "buckets")
+    state = None
     for turn in range(STARS + 1):
+        if state:
+            members = _unfolded(state)
         if turn < STARS:
             centers = _centers(members, turn)
             pairs = _star(members, centers)
@@ -313,19 +325,17 @@ def classes(
             hubs = members.join(centers, ["band", "key"]).join(
                 sizes.select(F.col("c").alias("id"), F.col("d").alias("b"), "both"), ["id", "b"], "left"
             )
-            members = materialize(hubs.select(
-                "band", "key", "id", "n", "own", F.coalesce("both", "n").alias("hub"), "component"
-            ), "buckets")
+            state = materialize(_folded(hubs.withColumn("hub", F.coalesce("both", "n"))), "buckets")
         links = materialize(alike(sizes, percent), "near")
         if not links.isEmpty():
             found = components(links)
-            members = materialize(
-                members.join(found, members.component == found.node, "left").select(
-                    "band", "key", "id", "n", "own", "hub", F.coalesce(found.component, members.component).alias("component")
+            state = materialize(
+                state.join(found, state.component == found.node, "left").select(
+                    "id", "n", "own", "places", F.coalesce(found.component, state.component).alias("component")
                 ), "buckets",
             )
     left, right = nodes.select("id", F.col("rep").alias("a")), nodes.select(F.col("id").alias("component"), F.col("rep").alias("b"))
-    near = members.where("id <> component").select("id", "component").distinct().join(left, "id").join(right, "component").select("a", "b")
+    near = state.where("id <> component").select("id", "component").join(left, "id").join(right, "component").select("a", "b")
     found = components(near.unionByName(copies))
     return signed.select("id").distinct().join(found, F.col("id") == F.col("node"), "left").select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias(key),
