@@ -3,7 +3,8 @@
 Subwords are the byte n-grams of the lower-case text, in which everything but letters is a blank; each is
 hashed to a row of an embedding table, a text is the average of its rows, and one linear layer with a
 softmax gives a probability per language. The model is trained on the driver by stochastic gradient
-descent in numpy, on a sample whose size is a parameter. Averaging and the layer are both linear, so
+descent in numpy, on a sample whose size is a parameter: different texts, evenly many of each language as far as
+there are, of any length; of a text with many different subwords a part drawn by hash stands for all. Averaging and the layer are both linear, so
 for prediction they are multiplied out to a table of scores per subword, which tasks add up.
 
 A part of the sample is held back from training. It sets a temperature, so that the score is the
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -26,8 +27,8 @@ UNKNOWN = "und"
 GRAMS = (3, 4)
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-#: The sample: labelled texts at most, and bytes of each at most; longer texts are not sampled.
-SAMPLE_ROWS, SAMPLE_BYTES = 4_000, 8_000
+#: The sample: labelled texts at most, and different subwords of each at most.
+SAMPLE_ROWS, SAMPLE_GRAMS = 4_000, 8_192
 EPOCHS, BATCH, RATE = 6, 32, 4.0
 #: Of the sampled texts, one in so many is held back to set temperature and rejection.
 HELD_BACK = 5
@@ -99,22 +100,51 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _texts(rows: list[bytes]) -> K.Texts:
-    offsets = np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int64)
-    return K.Texts(pa.nulls(len(rows)), np.frombuffer(b"".join(rows), np.uint8), offsets)
+#: Buckets of a text's subwords, and how often each occurs.
+Features = tuple[np.ndarray, np.ndarray]
 
 
-def train(rows: list[tuple[bytes, str]], seed: int = 0) -> Model:
-    """Fit a model to (UTF-8 text, language) pairs, in an order that the seed decides."""
+def features(texts: K.Texts, most: int = SAMPLE_GRAMS) -> list[Features]:
+    """Of each text the buckets and counts of its subwords; of more than ``most`` buckets those of the smallest hashes.
+
+    The hash depends on the text, so the buckets left are a fair sample of those that the text has.
+    """
+    parts = list(subwords(texts))
+    document = np.concatenate([d for _, d in parts] or [np.zeros(0, np.int64)])
+    buckets = np.concatenate([b for b, _ in parts] or [np.zeros(0, np.int64)])
+    keys, counts = np.unique(document * BUCKETS + buckets, return_counts=True)
+    edges = np.searchsorted(keys, np.arange(len(texts) + 1) * BUCKETS)
+    out = []
+    for i in range(len(texts)):
+        own, n = keys[edges[i]:edges[i + 1]] % BUCKETS, counts[edges[i]:edges[i + 1]]
+        if len(own) > most:
+            drawn = np.sort(np.argsort(K.mix(own.astype(np.uint64) + np.uint64(n.sum()) * np.uint64(BUCKETS)))[:most])
+            own, n = own[drawn], n[drawn]
+        out.append((own, n))
+    return out
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text, h) to (lang, h, buckets, counts)."""
+    for batch in batches:
+        for part, texts in K.chunks(batch):
+            found = features(texts)
+            offsets = pa.array(np.append(0, np.cumsum([len(b) for b, _ in found])).astype(np.int32))
+            buckets, counts = (np.concatenate(x).astype(np.int32) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (buckets, counts)]],
+                ["lang", "h", "buckets", "counts"],
+            )
+
+
+def train(rows: list[tuple[Features, str]], seed: int = 0) -> Model:
+    """Fit a model to (subwords of a text, language) pairs, in an order that the seed decides."""
     languages = sorted({lang for _, lang in rows})
     label = np.array([languages.index(lang) for _, lang in rows])
     random = np.random.default_rng(seed)
     order = random.permutation(len(rows))
     held, used = order[::HELD_BACK], np.setdiff1d(order, order[::HELD_BACK]) if len(rows) > HELD_BACK else order
-    features = []
-    for text, _ in rows:
-        found = [b for b, _ in subwords(_texts([text]))]
-        features.append(np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True))
+    features = [f for f, _ in rows]
     table = random.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     layer, bias = random.normal(0, 0.1, (len(languages), DIMENSIONS)), np.zeros(len(languages))
     steps = EPOCHS * -(-len(used) // BATCH)
@@ -142,11 +172,11 @@ def train(rows: list[tuple[bytes, str]], seed: int = 0) -> Model:
     return calibrated(model, [rows[i] for i in held])
 
 
-def calibrated(model: Model, rows: list[tuple[bytes, str]]) -> Model:
+def calibrated(model: Model, rows: list[tuple[Features, str]]) -> Model:
     """Set the temperature by likelihood, and the least score from which on predictions are right often enough."""
-    texts = _texts([t for t, _ in rows])
     label = np.array([model.languages.index(lang) for _, lang in rows])
-    logits, at = model.logits(texts), np.arange(len(rows))
+    logits = np.stack([n @ model.scores[b] / max(n.sum(), 1) for (b, n), _ in rows]) + model.bias
+    at = np.arange(len(rows))
     tried = np.exp(np.linspace(-5, 2, 71))
     loss = [-np.log(softmax(logits / t)[at, label] + 1e-12).mean() for t in tried]
     model.temperature = float(tried[int(np.argmin(loss))])
@@ -184,19 +214,40 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def quota(counts: list[int], rows: int) -> int:
+    """The largest number that may be taken of each kind, as far as there are, so that ``rows`` suffice; 1 at least."""
+    left, kinds = rows, len(counts)
+    for n in sorted(counts):
+        if n * kinds > left:
+            return max(1, left // kinds)
+        left, kinds = left - n, kinds - 1
+    return max(1, *counts)
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Model | None:
-    """Train on the ``rows`` labelled texts with the smallest hash of their key; None without any."""
-    usable = docs.where(~held_out(F.col(key)) & F.col(label).isNotNull() & F.col(text).isNotNull())
-    picked = usable.where(F.octet_length(text).between(1, SAMPLE_BYTES)).select(
-        F.col(text).cast("binary").alias("text"), F.col(label).cast("string").alias("lang"), F.xxhash64(key, text).alias("h")
+    """Train on ``rows`` different labelled texts, evenly many of each language as far as there are; None without any.
+
+    Of a language the texts of the smallest hashes are taken, whatever their length and however often they are repeated;
+    one row is taken of each language at least. Rows without text or label, and held-out rows, are left out. A text under
+    several labels counts once for each. Labels are few: their counts come to the driver, and the model has a column for each.
+    """
+    usable = docs.where(~held_out(F.col(key)) & F.col(label).isNotNull() & (F.octet_length(text) > 0)).select(
+        F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
-    # Each task would send that many texts of its own; below a hash that leaves a half more than wanted,
-    # few are sent, and the smallest are the same.
-    share = min(1.0, 1.5 * rows / max(picked.count(), 1))
-    if share < 1:
-        picked = picked.where(F.col("h") < int(share * 2**64) - 2**63)
-    found = picked.orderBy("h", "text", "lang").limit(rows).collect()
-    return train([(bytes(r.text), r.lang) for r in found]) if found else None
+    # Repeated texts count once, about; the margin below is wider than the error.
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    if not counts:
+        return None
+    each = quota(list(counts.values()), rows)
+    # Each task sends few texts more than are wanted: those below a hash that leaves half as many again per language.
+    shares = {lang: min(1.0, (1.5 * each + 30) / max(n, 1)) for lang, n in counts.items()}
+    limits = F.create_map(*[F.lit(x) for lang, p in shares.items() for x in (lang, min(int(p * 2**64) - 2**63, 2**63 - 1))])
+    picked = usable.where(F.col("h") <= limits[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = picked.withColumn("at", F.row_number().over(first)).where(F.col("at") <= each)
+    found = chosen.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, buckets array<int>, counts array<int>")
+    sample = sorted(found.collect(), key=lambda r: (r.h, r.lang))
+    return train([((np.array(r.buckets, np.int64), np.array(r.counts, np.int64)), r.lang) for r in sample])
 
 
 def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:

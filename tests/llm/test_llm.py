@@ -227,6 +227,23 @@ def test_language(spark, awkward, empty):
     assert {r.lang_pred for r in language.identify(unlabelled, None).collect()} == {"und"}
 
 
+def test_language_sample(spark):
+    """Repeated rows, long texts and rare labels: each language is learned."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    row = docs.where("lang = 'en'").first()
+    hot = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("en").alias("lang"), F.lit(row.text).alias("text"))
+    long_ = spark.createDataFrame([(i, "xx", " ".join(prose(70 + i, 3000)).replace("e", "ø")) for i in range(40)], "doc_id long, lang string, text string")
+    model = language.fit(docs.unionByName(hot).unionByName(long_), rows=600)
+    assert model.languages == sorted({r.lang for r in docs.select("lang").distinct().collect() if r.lang} | {"xx"})
+    rows = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+    assert {r.lang_pred for r in language.identify(long_, model).collect()} == {"xx"}
+
+
+def test_quota():
+    assert language.quota([10, 1000, 3], 100) == 87 and language.quota([5, 6], 100) == 6 and language.quota([9] * 20, 10) == 1
+
+
 # --- 4: shards ------------------------------------------------------------------------------------
 
 
