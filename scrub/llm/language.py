@@ -125,16 +125,12 @@ def features(texts: K.Texts, most: int = SAMPLE_GRAMS) -> list[Features]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text, h) to (lang, h, buckets, counts)."""
+    """(lang, text, h) to (lang, h, buckets, counts), the last two as the bytes of 32-bit numbers."""
     for batch in batches:
         for part, texts in K.chunks(batch):
             found = features(texts)
-            offsets = pa.array(np.append(0, np.cumsum([len(b) for b, _ in found])).astype(np.int32))
-            buckets, counts = (np.concatenate(x).astype(np.int32) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (buckets, counts)]],
-                ["lang", "h", "buckets", "counts"],
-            )
+            packed = [pa.array([x.astype(np.int32).tobytes() for x in column], pa.binary()) for column in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *packed], ["lang", "h", "buckets", "counts"])
 
 
 def train(rows: list[tuple[Features, str]], seed: int = 0) -> Model:
@@ -245,9 +241,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     picked = usable.where(F.col("h") <= limits[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     first = Window.partitionBy("lang").orderBy("h")
     chosen = picked.withColumn("at", F.row_number().over(first)).where(F.col("at") <= each)
-    found = chosen.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, buckets array<int>, counts array<int>")
+    found = chosen.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, buckets binary, counts binary")
     sample = sorted(found.collect(), key=lambda r: (r.h, r.lang))
-    return train([((np.array(r.buckets, np.int64), np.array(r.counts, np.int64)), r.lang) for r in sample])
+    numbers = lambda b: np.frombuffer(b, np.int32).astype(np.int64)
+    return train([((numbers(r.buckets), numbers(r.counts)), r.lang) for r in sample])
 
 
 def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
