@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from itertools import product
 
 from pyspark.sql import Column
@@ -90,6 +90,66 @@ def _stretched(fmt: str) -> str | None:
     return "(?i)^" + "".join(parts) + "$"
 
 
+def _choices(c: Column, formats: Sequence[str]) -> tuple[dict, dict, list[str], Column]:
+    """Shapes by format, formats by shape, formats that leave room for other shapes, and the text's shape."""
+    last_first = list(dict.fromkeys(reversed(formats)))
+    known = {fmt: shapes_of(fmt) for fmt in last_first}
+    loose = [fmt for fmt in last_first if known[fmt] is None or _stretched(fmt)]
+    choices = {
+        shape: [fmt for fmt in last_first if known[fmt] is None or shape in known[fmt]]
+        for shapes in known.values() for shape in shapes or ()
+    }
+    return known, choices, loose, _shape(c, choices)
+
+
+def _shape(c: Column, shapes: Collection[str]) -> Column:
+    """The shape of a text that is not longer than all of the shapes."""
+    longest = max((len(shape.encode()) for shape in shapes), default=0)
+    return F.when(F.octet_length(c) <= longest, F.translate(F.lower(c), "123456789", "000000000"))
+
+
+def shape_of(c: Column, *formats: str) -> Column:
+    """The shape of a text, NULL if it is too long for all of these formats: for ``has_reading``."""
+    return _shape(c, [shape for fmt in formats for shape in shapes_of(fmt) or ()])
+
+
+def _open_ended(c: Column, fmt: str) -> Column:
+    """Whether a text of no known shape may be one of this format."""
+    pattern = _stretched(fmt) if shapes_of(fmt) is not None else None
+    return c.rlike(pattern) if pattern else ~c.rlike(_FAR_YEAR)
+
+
+def _within_years(c: Column, fmt: Column) -> Column:
+    """The format, if it is not marked as one of far years, or if the year of the text is no farther than timestamps go."""
+    year = F.regexp_extract(c, "(" + _FAR_YEAR + ")", 1).try_cast("int")
+    reads = F.when(year.between(_LEAST_YEAR, _MOST_YEAR), F.substr(fmt, F.lit(2)))
+    return F.when(fmt.startswith(_FAR), reads).otherwise(fmt)
+
+
+def has_reading(c: Column, formats: Sequence[str], shape: Column | None = None) -> Column:
+    """Whether any of the formats reads the text: ``_first_reading`` is not NULL, in far less code.
+
+    Code of over 8000 bytes a method is never compiled by the JVM, so looking at many values needs little of
+    it: a set tells texts of no known shape apart, one map has the formats of a shape, and one expression
+    tries them in turn. ``shape`` may be a column that holds ``shape_of`` these formats, and others.
+    """
+    known, choices, loose, own = _choices(c, formats)
+    shape = own if shape is None else shape
+    reads = F.lit(False)
+    for fmt in loose:
+        reads = reads | F.when(_open_ended(c, fmt), F.try_to_timestamp(c, F.lit(fmt)).isNotNull()).otherwise(False)
+    if not choices:
+        return F.coalesce(reads, F.lit(False))
+    # Years of four digits first, as the map is searched in order.
+    order = sorted(choices, key=lambda s: (s[0] in "+-" or "+" in s or "--" in s, len(s)))
+    far = {s: [(_FAR if (known[fmt] or {}).get(s) else "") + fmt for fmt in choices[s]] for s in order}
+    table = F.create_map(*[x for s in order for x in (F.lit(s), F.array(*map(F.lit, far[s])))])
+    tried = F.exists(
+        F.try_element_at(table, shape), lambda fmt: F.try_to_timestamp(c, _within_years(c, fmt)).isNotNull()
+    )
+    return F.coalesce(F.when(shape.isin(*choices), tried).otherwise(reads), F.lit(False))
+
+
 def _first_reading(c: Column, formats: Sequence[str], kind: str) -> Column:
     """The reading by the last format that reads the text.
 
@@ -98,18 +158,7 @@ def _first_reading(c: Column, formats: Sequence[str], kind: str) -> Column:
     of that shape are tried: the i-th choice for a shape is in the i-th of a few constant maps.
     Texts of no known shape are only tried with formats that leave room for them.
     """
-    last_first = list(dict.fromkeys(reversed(formats)))
-    known = {fmt: shapes_of(fmt) for fmt in last_first}
-    stretched = {fmt: _stretched(fmt) for fmt in last_first if known[fmt] is not None}
-    loose = [fmt for fmt in last_first if known[fmt] is None or stretched[fmt]]
-    choices = {
-        shape: [fmt for fmt in last_first if known[fmt] is None or shape in known[fmt]]
-        for shapes in known.values() for shape in shapes or ()
-    }
-    longest = max((len(shape.encode()) for shape in choices), default=0)
-    shape = F.when(
-        F.octet_length(c) <= longest, F.translate(F.lower(c), "123456789", "000000000")
-    )
+    known, choices, loose, shape = _choices(c, formats)
     readings = []
     for i in range(max(map(len, [loose, *choices.values()]), default=0)):
         entries = [
@@ -121,12 +170,9 @@ def _first_reading(c: Column, formats: Sequence[str], kind: str) -> Column:
             table = F.str_to_map(F.lit(_AFTER.join(entries)), F.lit(_AFTER), F.lit(_BETWEEN))
             fmt = F.try_element_at(table, shape)
             if any(_FAR in e for e in entries):
-                year = F.regexp_extract(c, "(" + _FAR_YEAR + ")", 1).try_cast("int")
-                reads = F.when(year.between(_LEAST_YEAR, _MOST_YEAR), F.substr(fmt, F.lit(2)))
-                fmt = F.when(fmt.startswith(_FAR), reads).otherwise(fmt)
+                fmt = _within_years(c, fmt)
         if i < len(loose):
-            pattern = stretched.get(loose[i])
-            open_ended = c.rlike(pattern) if pattern else ~c.rlike(_FAR_YEAR)
+            open_ended = _open_ended(c, loose[i])
             if choices:
                 open_ended = open_ended & ~F.coalesce(shape.isin(*choices), F.lit(False))
             fmt = F.coalesce(fmt, F.when(open_ended, loose[i]))
@@ -163,16 +209,29 @@ def is_number(c: Column) -> Column:
     return without_commas(c).rlike(NUMBER)
 
 
+def as_double(c: Column) -> Column:
+    """The number that a text is once thousands commas are gone."""
+    return F.when(is_number(c), without_commas(c).try_cast("double"))
+
+
+def is_whole(value: Column) -> Column:
+    """True for a double without a fractional part that a long surely holds."""
+    return F.coalesce((value == F.rint(value)) & (F.abs(value) < SURELY_LONG), F.lit(False))
+
+
+def is_within(value: Column, precision: int, scale: int) -> Column:
+    """True for a double that decimal(precision, scale) holds without being cut to its limits."""
+    return F.coalesce(F.abs(value) < float(f"1e{precision - scale}"), F.lit(False))
+
+
 def is_whole_number(c: Column) -> Column:
     """True for a number without a fractional part that a long surely holds; ``1.0`` counts."""
-    value = F.when(is_number(c), without_commas(c).try_cast("double"))
-    return F.coalesce((value == F.rint(value)) & (F.abs(value) < SURELY_LONG), F.lit(False))
+    return is_whole(as_double(c))
 
 
 def fits_decimal(c: Column, precision: int, scale: int) -> Column:
     """True for a number that decimal(precision, scale) holds without being cut to its limits."""
-    value = F.when(is_number(c), without_commas(c).try_cast("double"))
-    return F.coalesce(F.abs(value) < float(f"1e{precision - scale}"), F.lit(False))
+    return is_within(as_double(c), precision, scale)
 
 
 def parse_integer(c: Column, kind: str) -> Column:

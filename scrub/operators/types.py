@@ -293,6 +293,12 @@ def infer_shares(
     return _shares(type_counts(df, columns, options)).drop("decimal_share")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, if they come in fewer files: a file may be a single row group, which one task reads."""
+    files = len(df.inputFiles())
+    return df.repartition(F.rand(0)) if 0 < files < df.sparkSession.sparkContext.defaultParallelism else df
+
+
 PROBES = ("boolean", "numeric", "integer", "decimal", "timestamp", "date")
 
 
@@ -305,7 +311,8 @@ def type_counts(
 
     Looks at all values of all columns in one aggregate; nothing is sampled. The columns are
     unfolded into (column, value) pairs, so the probes are one piece of code however wide the
-    table is. Counts of parts of a table add up (``add_type_counts``).
+    table is. Counts of parts of a table add up (``add_type_counts``). A table in fewer files than
+    there are cores is dealt out to all of them first.
     """
     text_columns = columns_of_type(df, T.StringType)
     wanted = text_columns if columns is None else [c for c in text_columns if c in columns]
@@ -313,15 +320,20 @@ def type_counts(
     if not wanted:
         return spark.createDataFrame([], COUNTS_SCHEMA)
     cells = [x for i, name in enumerate(wanted) for x in (F.lit(i), ref(name))]
-    pairs = df.select(F.stack(F.lit(len(wanted)), *cells).alias("place", "value"))
-    c = F.col("value")
+    rows = _spread(df.select(*[ref(name) for name in wanted]))
+    pairs = rows.select(F.stack(F.lit(len(wanted)), *cells).alias("place", "value"))
+    c, size, shape = F.col("value"), F.col("size"), F.col("shape")
+    formats = (*options.timestamp_formats, *options.date_formats)
+    # Each step is worked out once per value, before the probes that share it.
+    pairs = pairs.select("place", "value", parse.is_number(c).alias("number"), parse.shape_of(c, *formats).alias("shape"))
+    pairs = pairs.withColumn("size", F.when(F.col("number"), parse.without_commas(c).try_cast("double")))
     probes = {
         "boolean": parse.boolean_word(c),
-        "numeric": parse.is_number(c),
-        "integer": parse.is_whole_number(c),
-        "decimal": parse.fits_decimal(c, options.precision, options.scale),
-        "timestamp": parse.parse_timestamp(c, options.timestamp_formats).isNotNull(),
-        "date": parse.parse_date(c, options.date_formats).isNotNull(),
+        "numeric": F.col("number"),
+        "integer": parse.is_whole(size),
+        "decimal": parse.is_within(size, options.precision, options.scale),
+        "timestamp": parse.has_reading(c, options.timestamp_formats, shape),
+        "date": parse.has_reading(c, options.date_formats, shape),
     }
     counted = pairs.groupBy("place").agg(
         F.count(c).alias("n"), *[F.count_if(probes[key]).alias(key) for key in PROBES]

@@ -105,6 +105,17 @@ def test_types_do_not_depend_on_the_split(spark, seed):
     assert bag(counts) == bag(scrub.type_counts(df).select(counts.columns))
 
 
+def test_one_file_is_probed_by_all_cores(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 1).selectExpr(
+        "CAST(id AS STRING) AS n", "CAST(date_add(DATE'2020-01-01', CAST(id AS INT)) AS STRING) AS day"
+    )
+    rows.write.parquet(str(tmp_path / "one"))
+    counts = scrub.type_counts(spark.read.parquet(str(tmp_path / "one")))
+    assert "RepartitionByExpression" in counts._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.column_name: r for r in counts.collect()}
+    assert found["n"].integer_count == found["day"].date_count == 4000 and found["day"].numeric_count == 0
+
+
 def test_the_wider_type_is_a_join():
     kinds = [None, "boolean", "long", "decimal", "timestamp", "date", "string"]
     join = scrub.wider_type

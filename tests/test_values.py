@@ -97,6 +97,22 @@ def test_shapes_read_what_trying_every_format_reads(spark, formats, kind):
     assert both.where("NOT (a <=> b)").collect() == []
 
 
+@pytest.mark.parametrize(
+    "formats", [parse.DATE_FORMATS, parse.TIMESTAMP_FORMATS, ("MMM d, yyyy", "d MMMM yyyy"), ("yyyy-MM-dd", "d MMMM yyyy"), ()]
+)
+def test_a_text_has_a_reading_where_it_is_read(spark, formats):
+    texts = [
+        "2024-01-02", "01/02/2024", "13/13/2024", "001/02/2024", "1/2/2024", "+123456-01-01", "-290308-01-01", "+999999-12-31",
+        "+12345-01-02", "", "abc", "2024-01-02 10:00:00", "2024-01-02T25:00:00", "20240102", "99999999", "31.13.2024",
+        "2024.02.30", " 2024-01-02", "1/2/+12345", "Jan 5, 2024", "5 January 2024", None,
+    ]
+    df = column(spark, texts)
+    read = outcome(df, parse._first_reading(v(), formats, "timestamp").isNotNull())
+    assert outcome(df, parse.has_reading(v(), formats)) == read
+    shape = parse.shape_of(v(), *formats, *parse.TIMESTAMP_FORMATS)
+    assert outcome(df, parse.has_reading(v(), formats, shape)) == read
+
+
 def test_no_formats_read_nothing(spark):
     assert outcome(column(spark, ["2024-01-01"]), parse.parse_date(v(), [])) == [None]
 
