@@ -18,19 +18,27 @@ from .queries import (
 )
 from .registry import query
 
-FILES, FILES_PER_BATCH = 6, 2
+# A table that comes in batches: its least files, its batches whatever its size, and how long a file gets.
+FILES, BATCHES, ROWS_PER_FILE = 6, 3, 500_000
 QUARANTINED = [
     "order_id", "customer_id", "priority", "amount", "order_date", "is_active", "priority_vague_flag", "quarantine_reason",
     "original_row_hash",
 ]
 
 
+def as_files(df: DataFrame, path: str) -> int:
+    """Write a table as files, more for a larger one, so that no task writes much; return how many make a batch."""
+    files = max(FILES, -(-df.count() // ROWS_PER_FILE))
+    df.repartition(files).write.parquet(path)
+    return -(-files // BATCHES)
+
+
 def in_batches(df: DataFrame, apply: Callable[[DataFrame], DataFrame], stateful=None) -> DataFrame:
     """The rows that ``apply`` gives for each batch of a table that comes as files, with their ``batch``."""
     source, out, seen = (scratch_path(df.sparkSession, name) for name in ("files", "batches", "seen"))
-    df.repartition(FILES).write.parquet(source)
+    per_batch = as_files(df, source)
     spark = stateful_session(df.sparkSession, 8)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(source)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(source)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         apply(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -142,9 +150,9 @@ def ingested(df: DataFrame):
     """The orders as files that come in batches, cleaned as if they were one table."""
     spark = df.sparkSession
     source, target, checkpoint = (scratch_path(spark, name) for name in ("orders", "cleaned", "seen"))
-    df.repartition(FILES).write.parquet(source)
+    per_batch = as_files(df, source)
     config = replace(STRICT_ORDERS, source=source, target=target, input_format="parquet", profiling=True)
-    return scrub.clean_incrementally(spark, config, df.schema, checkpoint, FILES_PER_BATCH, state_partitions=8)
+    return scrub.clean_incrementally(spark, config, df.schema, checkpoint, per_batch, state_partitions=8)
 
 
 @query("ingest_orders", "dirty_orders", STRICT_CLEAN_SQL)

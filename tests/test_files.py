@@ -1,8 +1,10 @@
 """Readers, writers, staging and incremental ingest."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import scrub
+from catalog import incremental
 from scrub.plans import CleaningConfig
 from scrub.sources import readers, staging
 from scrub.sources.writers import LOSSLESS_CSV
@@ -159,3 +161,14 @@ def test_batches_give_the_rows_of_one_run(spark, tmp_path):
         columns = ["customer_id", "age", "joined"]
         assert rows(steps.select(columns)) == rows(whole.select(columns))
     assert steps.select("batch").distinct().count() == 2
+
+
+def test_a_larger_table_comes_in_more_files_but_not_in_more_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "ROWS_PER_FILE", 100)
+    df = spark.range(1234).withColumn("text", F.col("id").cast("string"))
+    per_batch = incremental.as_files(df, str(tmp_path / "files"))
+    sizes = [r.n for r in spark.read.parquet(str(tmp_path / "files")).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 13 and max(sizes) <= 200 and sum(sizes) == 1234 and per_batch == 5
+    batches = incremental.in_batches(df, scrub.type_counts)
+    assert batches.select("batch").distinct().count() == incremental.BATCHES
+    assert scrub.add_type_counts(batches).first().integer_count == 1234
