@@ -179,6 +179,24 @@ def overlaps(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return joined.mapInArrow(_overlaps, "c long, d long, both long, either long")
 
 
+def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text, text of center, center) to (id, center, leaf): the keys that one of the two multisets has."""
+    for batch in batches:
+        for part, one, two in _slices(batch):
+            (x, dx, _), (y, dy, _) = bags(one), bags(two)
+            key, pair = np.append(x, y), np.append(dx, dy)
+            order = np.lexsort([key, pair])
+            key, pair = key[order], pair[order]
+            same = (key[1:] == key[:-1]) & (pair[1:] == pair[:-1])
+            alone = np.ones(len(key), bool)
+            alone[1:] &= ~same
+            alone[:-1] &= ~same
+            of = pa.array(pair[alone])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(of), part.column(3).take(of), pa.array(key[alone].view(np.int64))], ["id", "center", "leaf"]
+            )
+
+
 def alike(sizes: DataFrame, percent: int) -> DataFrame:
     return sizes.where(f"both * 100 >= {percent} * either").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
 
@@ -218,7 +236,7 @@ def _possible(members: DataFrame, percent: int) -> DataFrame:
 
 def _folded(members: DataFrame) -> DataFrame:
     """(id, n, own, places, component): one row per text, with its buckets, at most one per band."""
-    return members.groupBy("id", "n", "own", "component").agg(F.collect_list(F.struct("band", "key", "hub")).alias("places"))
+    return members.groupBy("id", "n", "own", "component").agg(F.collect_list(F.struct("band", "key", "center", "hub")).alias("places"))
 
 
 def _unfolded(state: DataFrame) -> DataFrame:
@@ -228,12 +246,12 @@ def _unfolded(state: DataFrame) -> DataFrame:
 def _centers(members: DataFrame, turn: int) -> DataFrame:
     """A text of each bucket that still is in several components.
 
-    The first time that is the text with the fewest shingles of its own, the likeliest to be what the
+    The first time that is a short text with few shingles of its own, the likeliest to be what the
     others were copied from; later any.
     """
     order = F.xxhash64("id", F.lit(turn))
     if turn == 0:
-        order = F.col("own") * (1 << 32) + F.pmod(order, F.lit(1 << 32))
+        order = (F.col("own") + F.col("n")) * (1 << 32) + F.pmod(order, F.lit(1 << 32))
     return members.groupBy("band", "key").agg(
         F.min_by("id", order).alias("b"), F.min_by("component", order).alias("d"),
         F.min("component").alias("low"), F.max("component").alias("high"),
@@ -247,26 +265,61 @@ def _star(members: DataFrame, centers: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _apart(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs that share a bucket, are in different components and can be alike.
+def _around(members: DataFrame, percent: int) -> DataFrame:
+    """(center, id, n, hub, rest, component, size, stray, need): texts around a first center that can be near a stray.
 
-    What two texts have in common is in the first center of their bucket, or is not; what they share
-    with it (``hub``) and what they share with nobody bounds both parts.
+    A stray is not in the component of the center. Of what two texts and their center differ in, two near texts
+    have the more in common the further they are from it; ``off`` is above 0 for all that are not near it. A text
+    has to have ``need`` such shingles in common with a stray of those in question.
     """
-    mixed = members.groupBy("band", "key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("band", "key")
-    rest = F.col("n") - F.col("hub") - F.col("own")
-    left = members.join(mixed, ["band", "key"]).select(
-        "band", "key", F.col("id").alias("a"), F.col("component").alias("c"),
-        F.col("n").alias("n1"), F.col("hub").alias("h1"), rest.alias("r1"),
+    every = members.select("center", "id", "n", "hub", "own", "component").distinct()
+    middle = F.col("id") == F.col("center")
+    mixed = every.groupBy("center").agg(
+        F.max(F.when(middle, F.col("n"))).alias("size"), F.max(F.when(middle, F.col("component"))).alias("home"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    ).where("low <> high").drop("low", "high")
+    every = every.join(mixed, "center").select(
+        "center", "id", "n", "hub", "component", "size", F.greatest(F.col("n") - F.col("hub") - F.col("own"), F.lit(0)).alias("rest"),
+        (F.col("component") != F.col("home")).alias("stray"),
+        ((F.col("n") + F.col("size")) * percent - F.col("hub") * (100 + percent)).alias("off"),
+    )
+    least = every.where("stray").groupBy("center").agg(F.min("off").alias("least"))
+    need = F.ceil((F.col("off") + F.col("least") + F.col("size") * (100 - percent)) / (100 + percent))
+    enough = F.col("stray") | (F.col("size") - F.col("hub") + F.col("rest") >= F.col("need"))
+    return every.join(least, "center").withColumn("need", need.cast("int")).where(enough).drop("off", "least")
+
+
+def _apart(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a first center, are in different components and can be alike.
+
+    What two texts have in common is in the center, or is not; what they share with it (``hub``) and what they
+    share with nobody bounds both parts. One of the two at least is a stray, so they must also agree in
+    some of what each differs in from the center: of the rarest of those shingles, so many of one
+    text that what is left is less than it needs, one is in the other text (prefix filter).
+    """
+    around = materialize(_around(members, percent), "around")
+    left = texts.select("id", F.col("text").alias("one"))
+    right = texts.select(F.col("id").alias("center"), F.col("text").alias("two"))
+    bodies = around.select("id", "center").join(left, "id").join(right, "center").select("id", "one", "two", "center")
+    differing = materialize(bodies.mapInArrow(_differing, "id long, center long, leaf long"), "differing")
+    seen = differing.groupBy("center", "leaf").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    leaves = differing.join(seen, ["center", "leaf"]).groupBy("center", "id").agg(
+        F.sort_array(F.collect_list(F.struct("seen", "leaf"))).alias("leaves")
+    )
+    told = materialize(around.join(leaves, ["center", "id"]), "around")
+    some = told.withColumn("some", F.size("leaves") - F.col("need") + 1).where("some > 0")
+    one = told.where("stray").select(
+        "center", F.explode("leaves.leaf").alias("leaf"), F.col("id").alias("a"), F.col("component").alias("c"),
+        F.col("n").alias("n1"), F.col("hub").alias("h1"), F.col("rest").alias("r1"),
+    )
+    two = some.select(
+        "center", F.explode(F.slice("leaves.leaf", F.lit(1), F.col("some"))).alias("leaf"), F.col("id").alias("b"),
+        F.col("component").alias("d"), F.col("n").alias("n2"), F.col("hub").alias("h2"), F.col("rest").alias("r2"), "stray",
     )
-    right = members.select(
-        "band", "key", F.col("id").alias("b"), F.col("component").alias("d"),
-        F.col("n").alias("n2"), F.col("hub").alias("h2"), rest.alias("r2"),
+    able = F.expr(
+        f"c <> d AND (a < b OR NOT stray) AND (least(h1, h2) + least(r1, r2)) * {100 + percent} >= (n1 + n2) * {percent}"
     )
-    able = F.expr(f"a < b AND c <> d AND (least(h1, h2) + least(r1, r2)) * {100 + percent} >= (n1 + n2) * {percent}")
-    return left.join(right, ["band", "key"]).where(able).select("a", "b", "c", "d").distinct()
+    return one.join(two, ["center", "leaf"]).where(able).select("a", "b", "c", "d").distinct()
 
 
 def classes(
@@ -282,7 +335,8 @@ def classes(
 
     A bucket of many texts is not compared pair by pair to begin with: it is compared with one of its
     texts, in ``STARS`` rounds with different ones, and texts that have met in a component need no
-    further comparison. Pairs that share a bucket and are still apart then are compared directly.
+    further comparison. Pairs that share a bucket, and so its first center, and are still apart then are
+    compared directly, where they agree in some of what both differ in from that center.
     """
     bodies = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -318,14 +372,15 @@ def classes(
             centers = _centers(members, turn)
             pairs = _star(members, centers)
         else:
-            pairs = _apart(members, percent)
+            pairs = _apart(members, texts, percent)
         sizes = overlaps(pairs, texts)
         if turn == 0:  # every text is a component of its own yet
             sizes = materialize(sizes, "sizes")
             hubs = members.join(centers, ["band", "key"]).join(
                 sizes.select(F.col("c").alias("id"), F.col("d").alias("b"), "both"), ["id", "b"], "left"
             )
-            state = materialize(_folded(hubs.withColumn("hub", F.coalesce("both", "n"))), "buckets")
+            hubs = hubs.withColumn("hub", F.coalesce("both", "n")).withColumnRenamed("b", "center")
+            state = materialize(_folded(hubs), "buckets")
         links = materialize(alike(sizes, percent), "near")
         if not links.isEmpty():
             found = components(links)

@@ -177,6 +177,31 @@ def test_near_duplicates_of_a_large_group(spark):
     assert found(neardup.classes(docs), "doc_id", "class_id") == {k: (v,) for k, v in brute.near_classes(rows).items()}
 
 
+def test_texts_far_from_their_center_are_not_all_compared(spark):
+    """Copies with four edits are not near their source; the two of a pair, with three of them in common, are."""
+    base, rows = prose(41, 150), [(1000, " ".join(prose(41, 150)))]
+    for i in range(160):
+        random.seed(i // 2)
+        group = i // 2 % 12
+        spots = random.sample([10 * k + 5 for k in range(15) if k != group], 3)
+        words = list(base)
+        words[10 * group + 5] = f"group{group}"
+        for k, at in enumerate(spots[:3] if i < 120 else spots[:1]):
+            words[at] = f"edit{i if k == 2 else i // 2}-{k}"
+        rows.append((i, " ".join(words)))
+    compared = []
+
+    def counted(pairs, bodies, overlaps=neardup.overlaps):
+        compared.append(pairs.count())
+        return overlaps(pairs, bodies)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neardup, "overlaps", counted)
+        assert found(neardup.classes(docs), "doc_id", "class_id") == {k: (v,) for k, v in brute.near_classes(rows).items()}
+    assert compared[-1] <= 10 * len(rows), compared
+
+
 def test_near_duplicates_of_keys_with_several_texts(spark):
     """What one text of a key holds alone must not hide the links of its other texts."""
     base, other, third = prose(31, 300), prose(32, 200), prose(33, 250)
