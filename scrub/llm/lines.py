@@ -163,7 +163,7 @@ def _sets(of: list[str]):
 
 
 def _prefixes(table: np.ndarray, percent: int):
-    """A function for mapInArrow: (token, name, document, line, n, at) of the prefixes of all lines."""
+    """A function for mapInArrow: (token, name, document, line, n and at in one) of the prefixes of all lines."""
     counts = np.minimum(table, (1 << 23) - 1).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,10 +184,10 @@ def _prefixes(table: np.ndarray, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(token[least].view(np.int64)), pa.array(name[least].view(np.int64)),
-                        *[pa.array(c[least]) for c in own], pa.array(lines.number[line].astype(np.int32)), pa.array(lines.size[line].astype(np.int32)),
-                        pa.array(place[kept][least].astype(np.int32)),
+                        *[pa.array(c[least]) for c in own], pa.array(lines.number[line].astype(np.int32)),
+                        pa.array(lines.size[line] << 32 | place[kept][least]),
                     ],
-                    ["token", "name", *repeats.marks(part.schema.names), "line", "n", "at"],
+                    ["token", "name", *repeats.marks(part.schema.names), "line", "shape"],
                 )
 
     return run
@@ -259,11 +259,14 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("name", "other")
 
 
-def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(document, place) of lines that are the first of their set, but near-equal to an earlier line."""
+def _near(source: DataFrame, counts: np.ndarray, percent: int, unique: bool) -> DataFrame:
+    """(document, place) of lines that are the first of their set, but near-equal to an earlier line.
+
+    ``unique``: no two rows have one id, so no row has copies.
+    """
     of = repeats.marks(source.columns)
     rows = source.mapInArrow(
-        _prefixes(counts, percent), f"token long, name long, {repeats.typed(of)}, line int, n int, at int"
+        _prefixes(counts, percent), f"token long, name long, {repeats.typed(of)}, line int, shape long"
     )
     # A token that only one set has in its prefix makes no candidate. Tasks send a set once per chunk of
     # text, so the rows of a token are not its lines but its different sets.
@@ -271,18 +274,19 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     shared = rows.withColumns({"low": F.min("name").over(same), "high": F.max("name").over(same)}).where("low <> high")
     order = F.struct(*of, "line")
     live = materialize(
-        shared.groupBy("token", "name").agg(F.min(order).alias("place"), F.min("n").alias("n"), F.min("at").alias("at")), "tokens"
+        shared.groupBy("token", "name").agg(F.min(order).alias("place"), F.min("shape").alias("shape")).select(
+            "token", "name", "place", F.shiftright("shape", 32).cast("int").alias("n"), F.col("shape").bitwiseAND((1 << 32) - 1).cast("int").alias("at")
+        ), "tokens",
     )
     places = materialize(live.groupBy("name").agg(F.min("place").alias("place")), "places")
     # Only the first line of each set is looked up, in its document.
     asked = places.select("place.*").groupBy(*of).agg(F.collect_list("line").alias("places"))
     few = places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     bodies = source.join(F.broadcast(asked) if few else asked, of).select("id", "text", "places")
-    # Copies of a row give the same sets.
-    sets = materialize(
-        bodies.mapInArrow(_wanted, "name long, tokens array<long>").groupBy("name").agg(F.any_value("tokens").alias("tokens")),
-        "lines",
-    )
+    sets = bodies.mapInArrow(_wanted, "name long, tokens array<long>")
+    if not unique:  # copies of a row give the same sets
+        sets = sets.groupBy("name").agg(F.any_value("tokens").alias("tokens"))
+    sets = materialize(sets, "lines")
 
     able = F.expr(
         f"least(n, m) * 100 >= greatest(n, m) * {percent}"
@@ -326,7 +330,7 @@ def remove_lines(
     # COUNTERS rows at most, whatever the size of the corpus.
     for row in sets.where("id IS NULL").groupBy("key").agg(F.sum("whole").alias("n")).collect():
         counts[row.key] = row.n
-    near = materialize(_near(source, counts, percent), "near")
+    near = materialize(_near(source, counts, percent, repeats.unique_keys(docs, key)), "near")
     first = repeats.first_places(sets.where("id IS NOT NULL"))
     packed = wide.mapInArrow(K.zipped, "id long, size long, body binary" + marked + carried)
     state = repeats.by_document(packed, ("first", first), ("near", near))

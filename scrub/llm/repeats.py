@@ -247,11 +247,18 @@ def by_document(docs: DataFrame, *told: tuple[str, DataFrame]) -> DataFrame:
     return docs
 
 
+def unique_keys(docs: DataFrame, key: str) -> bool:
+    """Whether no two rows have one key; reads the keys only."""
+    return docs.groupBy(F.col(key).cast("long")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def documents(docs: DataFrame, key: str, text: str, *more) -> DataFrame:
     """(id, text, ...), with ``MARKS`` after the text if any id has several texts."""
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *more
     )
+    if unique_keys(docs, key):
+        return rows
     found = [F.xxhash64("text").alias(MARKS[0]), F.xxhash64(F.lit(MARKS[1]), "text").alias(MARKS[1])]
     ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in MARKS]
     several = " OR ".join(f"min_{c} <> max_{c}" for c in MARKS)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from scrub.llm import (
-    contamination, language, lines, neardup, packing, quality, queries, sharding, substrings, suffixes, tokenfiles, tokens,
+    contamination, language, lines, neardup, packing, quality, queries, repeats, sharding, substrings, suffixes, tokenfiles, tokens,
 )
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -454,6 +454,14 @@ def test_lines(spark, awkward, empty, given_rows):
     assert lines.remove_lines(empty, carry=True).count() == 0
 
 
+def test_texts_are_not_read_to_see_that_keys_are_unique(spark):
+    docs = spark.range(5).select(F.col("id").alias("doc_id"), F.raise_error(F.lit("read")).cast("string").alias("text"))
+    assert repeats.documents(docs, "doc_id", "text").columns == ["id", "text"]
+    for rows, marks in (([(1, "a"), (1, "a"), (None, "b")], ()), ([(None, "a"), (None, "b")], repeats.MARKS)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert repeats.documents(docs, "doc_id", "text").columns == ["id", "text", *marks]
+
+
 def test_lines_of_many_variants(spark):
     base = prose(21, 40)
     rows = [(i, "\n".join(" ".join(edited(base, 15 + (i + j) % 40, i * j)) for j in range(4))) for i in range(60)]
