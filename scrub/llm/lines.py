@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources import materialize
+from ..sources import materialize, release
 from . import kernels as K
 from . import repeats
 
@@ -278,6 +278,8 @@ def _near(source: DataFrame, counts: np.ndarray, percent: int, unique: bool) ->
             "token", "name", "place", F.shiftright("shape", 32).cast("int").alias("n"), F.col("shape").bitwiseAND((1 << 32) - 1).cast("int").alias("at")
         ), "tokens",
     )
+    # The exchange of all prefixes is the largest, and done with.
+    release(source.sparkSession)
     places = materialize(live.groupBy("name").agg(F.min("place").alias("place")), "places")
     # Only the first line of each set is looked up, in its document.
     asked = places.select("place.*").groupBy(*of).agg(F.collect_list("line").alias("places"))

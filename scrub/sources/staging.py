@@ -41,3 +41,11 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, upon which Spark deletes shuffle files that nothing refers to.
+
+    A driver with memory to spare may keep them up to the end of a run. For steps whose exchanges take much disk.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
